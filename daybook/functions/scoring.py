@@ -19,17 +19,27 @@ def light(status: Column) -> Column:
     return out
 
 
+def rounded(c: Column, digits: int) -> Column:
+    """Round the scaled double, half away from zero, as the reference results do.
+
+    Spark's ``round(c, digits)`` rounds the shortest decimal text of the value instead,
+    which differs where arithmetic lands a hair beside a tie.
+    """
+    scale = 10.0**digits
+    return F.round(c * scale) / scale
+
+
 def clip_at_zero(c: Column) -> Column:
     """Negative values become 0 and NULL stays NULL (``greatest`` would turn NULL into 0)."""
     return F.when(c < 0, F.lit(0.0)).otherwise(c)
 
 
 def celsius(fahrenheit: Column) -> Column:
-    return F.round((fahrenheit - 32) * 5 / 9, 1)
+    return rounded((fahrenheit - 32) * 5 / 9, 1)
 
 
 def kmh(mph: Column) -> Column:
-    return F.round(mph * 1.609, 1)
+    return rounded(mph * 1.609, 1)
 
 
 def call_correct(settled: Column, call: Column, verified: Column, happened: Column) -> Column:

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.functions.scoring import rounded
+
 
 @dataclass(frozen=True)
 class Measure:
@@ -30,7 +32,7 @@ class Measure:
             out = total if self.how == "sum" else total / F.count(value)
         else:
             out = {"min": F.min, "max": F.max, "avg": F.avg, "sum": F.sum}[self.how](value)
-        return F.round(out, self.digits).alias(self.name)
+        return rounded(out, self.digits).alias(self.name)
 
 
 def daily_rollup(df: DataFrame, key: str, ts: str, measures: Sequence[Measure]) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions.dates import season
-from daybook.functions.scoring import clip_at_zero
+from daybook.functions.scoring import clip_at_zero, rounded
 from daybook.operators import regression
 from daybook.operators.features import add_season, by_day
 from daybook.sources.tables import insert_if_absent
@@ -43,7 +43,7 @@ def _features() -> tuple[Column, Column, Column]:
 def _wide(points: DataFrame, metrics: Sequence[str], non_negative: Sequence[str], is_backtest: bool) -> DataFrame:
     """Pivot predictions to one row per key and day, only where every metric could be predicted."""
     value = F.when(F.col("metric").isin(*non_negative), clip_at_zero(F.col("yhat"))).otherwise(F.col("yhat"))
-    points = points.withColumn("yhat", F.round(value, 1))
+    points = points.withColumn("yhat", rounded(value, 1))
     per_metric = [F.max(F.when(F.col("metric") == m, F.col("yhat"))).alias(f"predicted_{m}") for m in metrics]
     last_count = F.max(F.when(F.col("metric") == metrics[-1], F.col("n"))).alias("training_rows")
     wide = points.groupBy("key", "target_date").agg(

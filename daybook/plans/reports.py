@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.functions.dates import seconds_between
-from daybook.functions.scoring import light
+from daybook.functions.scoring import light, rounded
 from daybook.operators.dedupe import latest_wins
 
 def distinct_keys(df: DataFrame) -> DataFrame:
@@ -64,7 +64,7 @@ def accuracy_pair(evaluation: DataFrame, key: str, metric: str) -> DataFrame:
         "target_date", F.col(f"predicted_{metric}").alias("predicted"), F.col(f"actual_{metric}").alias("actual")
     )
     pairs = pairs.dropna(subset=["predicted", "actual"])
-    return pairs.withColumn("error", F.round(F.abs(F.col("predicted") - F.col("actual")), 2)).orderBy("target_date")
+    return pairs.withColumn("error", rounded(F.abs(F.col("predicted") - F.col("actual")), 2)).orderBy("target_date")
 
 
 def run_history(runs: DataFrame, n: int = 14) -> DataFrame:

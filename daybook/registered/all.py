@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from daybook.registered import forecasting, series
+from daybook.registered import catalog, forecasting, metrics, quality, series, text
 
-MODULES = (series, forecasting)
+MODULES = (series, forecasting, text, metrics, quality, catalog)
 
 
 def queries() -> dict:
