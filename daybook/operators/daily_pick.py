@@ -18,12 +18,13 @@ def daily_pick(docs: DataFrame, issued_at: str, doc_id: str, as_of: str, cutoff_
     is a map-side combined aggregate instead of a range join. The first date of the
     series has no full window and is never picked.
     """
-    first_day = docs.select(F.min(F.to_date(issued_at))).scalar()
-    bucketed = docs.withColumn("run_date", run_date(F.col(issued_at), cutoff_hour))
-    open_days = bucketed.where(
-        (F.col("run_date") > first_day) & (F.col("run_date") <= F.lit(as_of).cast("date"))
-    )
-    return latest_wins(open_days, ["run_date"], issued_at, [doc_id])
+    cutoff = F.expr(f"INTERVAL {int(cutoff_hour)} HOURS")
+    first_day = docs.select(F.min(F.to_date(issued_at)).cast("timestamp_ntz")).scalar()
+    last = F.lit(as_of).cast("timestamp_ntz")
+    # Stated on the timestamp itself, so that the upper bound reaches the scan.
+    in_range = docs.where((F.col(issued_at) >= first_day + cutoff) & (F.col(issued_at) < last + cutoff))
+    bucketed = in_range.withColumn("run_date", run_date(F.col(issued_at), cutoff_hour))
+    return latest_wins(bucketed, ["run_date"], issued_at, [doc_id])
 
 
 def incremental_todo(picks: DataFrame, done: DataFrame) -> DataFrame:

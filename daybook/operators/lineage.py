@@ -70,7 +70,8 @@ def two_way_difference(declared: DataFrame, actual: DataFrame, name: str = "name
 
 def references(texts: DataFrame, pattern: str = TABLE_REFERENCE, group: int = 0) -> DataFrame:
     """(path, name): every distinct name that a text mentions, found inside its row."""
-    return texts.select("path", F.explode(all_matches(F.col("text"), pattern, group)).alias("name"))
+    found = texts.select("path", F.explode_outer(all_matches(F.col("text"), pattern, group)).alias("name"))
+    return found.where(F.col("name").isNotNull())
 
 
 def undeclared_references(

@@ -56,6 +56,9 @@ def split_sections(
         return s["opens"] & (F.length(s["section_name"]) > 0) & (F.length(s["content"]) >= min_chars)
 
     sections = marked.select(*keep, F.filter(F.transform("_marks", section), kept).alias("_sections"))
-    return sections.select(*keep, F.posexplode("_sections").alias("section_index", "_s")).select(
-        *keep, "section_index", "_s.section_name", "_s.content"
+    # The outer form keeps the optimizer from copying the array expression into a filter below.
+    return (
+        sections.select(*keep, F.posexplode_outer("_sections").alias("section_index", "_s"))
+        .where(F.col("section_index").isNotNull())
+        .select(*keep, "section_index", "_s.section_name", "_s.content")
     )

@@ -9,6 +9,7 @@ costs one exchange after the rollup.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -98,16 +99,20 @@ def skipped_keys(history: DataFrame, forecasts: DataFrame) -> DataFrame:
     return missing.select("key", "days", F.lit("warn").alias("status"), detail.alias("detail"))
 
 
-def forecast_table(
-    daily: DataFrame, live_days: Sequence[str], as_of: str, metrics: Sequence[str], non_negative: Sequence[str] = ()
+def live_forecasts(
+    daily: DataFrame, live_days: Sequence[str], metrics: Sequence[str], non_negative: Sequence[str] = ()
 ) -> DataFrame:
-    """Live forecasts made on each of ``live_days``, filled up with backtest points where none exist."""
-    live = None
-    for day in live_days:
-        made = next_day_forecast(settled_history(daily, day, metrics), metrics, non_negative)
-        live = made if live is None else live.unionByName(made)
+    """The forecasts that runs on each of ``live_days`` made for the day after."""
+    made = [next_day_forecast(settled_history(daily, day, metrics), metrics, non_negative) for day in live_days]
+    return reduce(DataFrame.unionByName, made)
+
+
+def add_backtest(
+    forecasts: DataFrame, daily: DataFrame, as_of: str, metrics: Sequence[str], non_negative: Sequence[str] = ()
+) -> DataFrame:
+    """The stored forecasts, filled up with backtest points for the days that have none."""
     backtest = walk_forward(settled_history(daily, as_of, metrics), metrics, non_negative)
-    return insert_if_absent(live, backtest, ["key", "target_date"])
+    return insert_if_absent(forecasts, backtest, ["key", "target_date"])
 
 
 def forecast_evaluation(forecasts: DataFrame, daily: DataFrame, as_of: str, metrics: Sequence[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from daybook.operators.dedupe import prefer_live
 from daybook.plans import compare, reports
 from daybook.plans.forecast import (
-    fit_per_key, forecast_evaluation, forecast_table, next_day_forecast, settled_history, walk_forward,
+    add_backtest, fit_per_key, forecast_evaluation, live_forecasts, next_day_forecast, settled_history, walk_forward,
 )
 from daybook.registered.base import (
     EVENT_METRICS, EVENT_NON_NEGATIVE, EVENTS_DAILY, LINE_METRICS, LINE_NON_NEGATIVE, LINES_DAILY,
@@ -20,14 +20,15 @@ AS_OF = "2024-01-28"
 LINES_AS_OF = "2001-06-30"
 
 
-def _forecasts(spark, d):
-    """The daily rollup, stored once because three fits and the evaluation read it, and its forecasts."""
+def stored_forecasts(spark, d):
+    """The daily rollup and the live forecasts, each stored once because several plans read them."""
     daily = materialise(events_daily(spark, d))
-    return daily, forecast_table(daily, LIVE_DAYS, AS_OF, EVENT_METRICS, EVENT_NON_NEGATIVE)
+    live = materialise(live_forecasts(daily, LIVE_DAYS, EVENT_METRICS, EVENT_NON_NEGATIVE))
+    return daily, add_backtest(live, daily, AS_OF, EVENT_METRICS, EVENT_NON_NEGATIVE)
 
 
-def _evaluation(spark, d):
-    daily, forecasts = _forecasts(spark, d)
+def evaluation(spark, d):
+    daily, forecasts = stored_forecasts(spark, d)
     return forecast_evaluation(forecasts, daily, AS_OF, EVENT_METRICS)
 
 
@@ -38,12 +39,12 @@ def _ols_fit(spark, d):
 
 
 def _live_latest(spark, d):
-    daily, forecasts = _forecasts(spark, d)
+    daily, forecasts = stored_forecasts(spark, d)
     return reports.live_latest(forecasts, ["click", "purchase", "view"])
 
 
 def _unpivot_errors(spark, d):
-    return compare.linear_errors(_evaluation(spark, d), EVENT_METRICS)
+    return compare.linear_errors(evaluation(spark, d), EVENT_METRICS)
 
 
 QUERIES = {
@@ -56,11 +57,11 @@ QUERIES = {
         settled_history(events_daily(s, d), AS_OF, EVENT_METRICS), EVENT_METRICS, EVENT_NON_NEGATIVE),
     "walk_forward_lineitem": lambda s, d: walk_forward(
         settled_history(lines_daily(s, d), LINES_AS_OF, LINE_METRICS), LINE_METRICS, LINE_NON_NEGATIVE),
-    "forecast_evaluation": _evaluation,
-    "prefer_live": lambda s, d: prefer_live(_forecasts(s, d)[1], ["key", "target_date"]),
+    "forecast_evaluation": evaluation,
+    "prefer_live": lambda s, d: prefer_live(stored_forecasts(s, d)[1], ["key", "target_date"]),
     "live_latest": _live_latest,
-    "backtest_split": lambda s, d: reports.backtest_split(_evaluation(s, d)),
-    "accuracy_pair": lambda s, d: reports.accuracy_pair(_evaluation(s, d), "purchase", "value_avg"),
+    "backtest_split": lambda s, d: reports.backtest_split(evaluation(s, d)),
+    "accuracy_pair": lambda s, d: reports.accuracy_pair(evaluation(s, d), "purchase", "value_avg"),
     "unpivot_errors": _unpivot_errors,
     "mae_summary": lambda s, d: compare.mae_summary(
         _unpivot_errors(s, d), "linear_per_key", "linear_error", EVENT_METRICS),

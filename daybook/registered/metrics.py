@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from daybook.plans.metrics import Metric, described, evaluate, metric_definitions
 from daybook.registered.base import EVENTS_DAILY, events_daily, table
-from daybook.registered.forecasting import AS_OF, FORECASTS, _evaluation
+from daybook.registered.forecasting import AS_OF, FORECASTS, evaluation
 from daybook.registered.text import THREE_WAY, three_way
 
 SETTLED = f"date <= DATE'{AS_OF}'"
@@ -55,7 +55,7 @@ QUERIES = {
     "metric_total": _one(2),
     "metric_peak": _one(3),
     "metric_tiles": lambda s, d: evaluate(events_daily(s, d), DAILY_METRICS, keys=KEYS),
-    "metric_mae": lambda s, d: evaluate(_evaluation(s, d), [MAE]),
+    "metric_mae": lambda s, d: evaluate(evaluation(s, d), [MAE]),
     "metric_hit_rate": lambda s, d: evaluate(three_way(s, d), HIT_RATES),
     "metric_hit_rate_labels": _labelled,
     "metric_definitions": _definitions,

@@ -1,0 +1,57 @@
+"""Registered queries: pooled boosted trees against the linear baseline."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from daybook.plans import compare
+from daybook.plans.forecast import forecast_evaluation, settled_history
+from daybook.registered.base import EVENT_METRICS, EVENT_NON_NEGATIVE
+from daybook.registered.forecasting import AS_OF, stored_forecasts
+from daybook.session import materialise
+
+KEYS = ["click", "error", "purchase", "signup", "view"]
+CUT_OFFS = ["2024-01-23", "2024-01-27"]
+COMPARED = ["value_avg"]
+
+
+def _inputs(spark, d):
+    daily, forecasts = stored_forecasts(spark, d)
+    history = settled_history(daily, AS_OF, EVENT_METRICS)
+    evaluation = materialise(forecast_evaluation(forecasts, daily, AS_OF, EVENT_METRICS))
+    return evaluation, materialise(compare.pooled_history(history, EVENT_METRICS, KEYS))
+
+
+def _boosted(pooled, metrics, feature_set="rich", depth=2):
+    return compare.boosted_backtest(pooled, metrics, KEYS, CUT_OFFS, feature_set, depth, EVENT_NON_NEGATIVE, max_iter=10)
+
+
+def _gbt_backtest(spark, d):
+    return _boosted(_inputs(spark, d)[1], ["value_avg"])
+
+
+def _model_errors(spark, d):
+    evaluation, pooled = _inputs(spark, d)
+    return compare.model_errors(evaluation, _boosted(pooled, COMPARED, "basic"), COMPARED)
+
+
+def _sweep(spark, d, feature_sets, depths):
+    evaluation, pooled = _inputs(spark, d)
+    return compare.model_sweep(evaluation, pooled, COMPARED, KEYS, CUT_OFFS[-1:], feature_sets, depths,
+                               EVENT_NON_NEGATIVE, max_iter=5)
+
+
+def _model_sweep(spark, d):
+    log = _sweep(spark, d, ("basic", "rich"), (2, 3))
+    return log.select("run", F.col("params")["feature_set"].alias("feature_set"),
+                      F.col("params")["max_depth"].alias("max_depth"),
+                      F.col("metrics")["mae_value_avg"].alias("mae_value_avg"), F.col("metrics")["n_points"].alias("n_points"))
+
+
+QUERIES = {
+    "gbt_backtest": _gbt_backtest,
+    "model_errors": _model_errors,
+    "model_sweep": _model_sweep,
+    "experiment_log": lambda s, d: _sweep(s, d, ("basic",), (2,)),
+}
+ORACLES: dict[str, str] = {}

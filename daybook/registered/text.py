@@ -10,12 +10,10 @@ from daybook.operators.daily_pick import daily_pick, incremental_todo
 from daybook.operators.enrich import FieldRule, enrich, extract_fields
 from daybook.operators.quality import evidence_verified, run_suite
 from daybook.operators.sections import split_sections
-from daybook.operators.vectors import cosine_topk
-from daybook.plans.forecast import forecast_table
+from daybook.operators.vectors import cosine_topk, unit
 from daybook.plans.three_way import three_way_compare
-from daybook.registered.base import EVENT_METRICS, EVENT_NON_NEGATIVE, events_daily, events_with_k, table
-from daybook.registered.forecasting import AS_OF, FORECASTS, LIVE_DAYS
-from daybook.session import materialise
+from daybook.registered.base import events_daily, events_with_k, table
+from daybook.registered.forecasting import AS_OF, FORECASTS, stored_forecasts
 
 # ---- sections ------------------------------------------------------------------------
 
@@ -155,8 +153,7 @@ def _extract(spark, d):
 
 
 def three_way(spark, d):
-    daily = materialise(events_daily(spark, d))
-    forecasts = forecast_table(daily, LIVE_DAYS, AS_OF, EVENT_METRICS, EVENT_NON_NEGATIVE)
+    daily, forecasts = stored_forecasts(spark, d)
     k = F.col("k")
     calls = _picks(spark, d).select(
         F.date_add("run_date", 1).alias("target_date"), "issued_at",
@@ -199,8 +196,8 @@ def _cosine(spark, d):
     """Two questions: the earliest and the latest stored vector, found by the scan itself."""
     vectors = table(spark, d, "embeddings")
     questions = {
-        "first": vectors.select(F.min_by("embedding", "vec_id")).scalar(),
-        "last": vectors.select(F.max_by("embedding", "vec_id")).scalar(),
+        "first": vectors.agg(F.min_by("embedding", "vec_id").alias("v")).select(unit(F.col("v"))).scalar(),
+        "last": vectors.agg(F.max_by("embedding", "vec_id").alias("v")).select(unit(F.col("v"))).scalar(),
     }
     return cosine_topk(vectors, "embedding", "vec_id", questions, k=5)
 

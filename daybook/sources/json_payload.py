@@ -4,33 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.dates import iso_naive
 from daybook.schemas import hourly_payload
 
 
-def _checked_hourly(raw: Column, measures: Sequence[str]) -> Column:
-    """Parse the payload; malformed JSON, a missing array or a short one stops the query.
+def unpack_payloads(df: DataFrame, raw: str, measures: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """One row per array position: the kept columns, ``ts`` and the measures. No shuffle.
 
-    Silent repair would shift values to the wrong hour, so each fault is an error:
-    FAILFAST covers malformed text and wrong types, the rest is asserted here.
+    Malformed JSON, a missing array or one shorter than ``time`` stops the query: silent
+    repair would shift values to the wrong hour. FAILFAST covers malformed text and wrong
+    types, the rest is asserted here. NULL elements flow on to the checks.
     """
     schema = hourly_payload(list(measures))
-    hourly = F.from_json(raw, schema, {"mode": "FAILFAST"})["hourly"]
-    complete = hourly["time"].isNotNull()
+    parsed = df.select(*keep, F.from_json(raw, schema, {"mode": "FAILFAST"})["hourly"].alias("_h"))
+    complete = F.col("_h.time").isNotNull()
     for m in measures:
-        complete = complete & (F.size(hourly[m]) >= F.size(hourly["time"]))
-    fault = F.raise_error(F.lit("payload misses an array or has one shorter than time"))
-    return F.when(F.coalesce(complete, F.lit(False)), hourly).otherwise(F.lit(fault).cast(schema["hourly"].dataType))
-
-
-def unpack_payloads(df: DataFrame, raw: str, measures: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """One row per array position: the kept columns, ``ts`` and the measures. No shuffle."""
-    parsed = df.select(*keep, _checked_hourly(F.col(raw), measures).alias("_h"))
+        complete = complete & (F.size(f"_h.{m}") >= F.size("_h.time"))
     zipped = F.arrays_zip(F.col("_h.time").alias("time"), *[F.col(f"_h.{m}").alias(m) for m in measures])
-    rows = parsed.select(*keep, F.inline(zipped))
+    fault = F.raise_error(F.lit("payload misses an array or has one shorter than time"))
+    checked = parsed.select(*keep, F.when(F.coalesce(complete, F.lit(False)), zipped).otherwise(fault).alias("_z"))
+    # The outer form evaluates the arrays once: a plain inline would copy them into a size filter.
+    rows = checked.select(*keep, F.inline_outer("_z"))
     return rows.where(F.col("time").isNotNull()).select(*keep, iso_naive(F.col("time")).alias("ts"), *measures)
 
 
