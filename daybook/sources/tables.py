@@ -60,9 +60,14 @@ def replace_partitions(df: DataFrame, name: str) -> None:
 
     The table is partitioned by the scope column, so nothing outside the touched days is read or rewritten.
     """
-    columns = df.sparkSession.table(name).columns
-    writer = df.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.insertInto(name, overwrite=True)
+    spark = df.sparkSession
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
 
 
 def export_csv(df: DataFrame, path: str) -> None:
