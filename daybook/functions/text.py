@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# What counts as white space and as a line end (the Unicode sets).
-WHITESPACE = r"[\s\x0B\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+# What counts as white space (the Unicode property plus the ASCII separators),
+# as a pattern and as a set of characters, and what ends a line.
+WHITESPACE = r"(?U)[\s\x1C-\x1F]+"
+WHITESPACE_CHARACTERS = (
+    "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 LINE_BREAK = r"\r\n|[\n\x0B\f\r\x1C-\x1E\x85\u2028\u2029]"
 
 # Words that carry no meaning in a search.
@@ -18,22 +24,27 @@ STOPWORDS = (
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"^{WHITESPACE}+|{WHITESPACE}+$", "")
+    return F.btrim(c, F.lit(WHITESPACE_CHARACTERS))
 
 
 def collapse(c: Column) -> Column:
     """Runs of white space become one space, none at the ends."""
-    return F.trim(F.regexp_replace(c, f"{WHITESPACE}+", " "))
+    return F.trim(F.regexp_replace(c, WHITESPACE, " "))
 
 
 def normalise(c: Column) -> Column:
     return collapse(F.lower(c))
 
 
+def stands_in(evidence: Column, normalised_source: Column) -> Column:
+    """True where the quote stands in a source that was normalised once for several quotes."""
+    quote = normalise(evidence)
+    return (F.length(quote) > 0) & F.contains(normalised_source, quote)
+
+
 def is_verbatim(evidence: Column, source: Column) -> Column:
     """True where the quote stands in the source, ignoring case and spacing; an empty quote never does."""
-    quote = normalise(evidence)
-    return (F.length(quote) > 0) & F.contains(normalise(source), quote)
+    return stands_in(evidence, normalise(source))
 
 
 def all_matches(c: Column, pattern: str, group: int = 0) -> Column:
@@ -51,9 +62,21 @@ def any_of(words: list[str]) -> str:
     return "|".join(re.escape(w) for w in words)
 
 
+def _starts_word(c: Column, word: str) -> Column:
+    """The literal comes first and its left side is checked after, so the search can skip ahead;
+    a plain substring test keeps the pattern away from texts without the word."""
+    literal = re.escape(word).replace("\\ ", "[ _]")
+    at_start = c.rlike(f"{literal}(?<![a-z0-9]{literal})")
+    return at_start if " " in word else F.contains(c, F.lit(word)) & at_start
+
+
 def word_start(c: Column, words: list[str]) -> Column:
-    """True where any word stands at the start of a word; ``_`` separates words."""
-    return F.replace(c, F.lit("_"), F.lit(" ")).rlike(f"(?<![a-z0-9])(?:{any_of(words)})")
+    """True where any word stands at the start of a word.
+
+    ``_`` separates words like a space, so a word that holds one is found nowhere.
+    """
+    hits = [_starts_word(c, w) for w in words if "_" not in w]
+    return reduce(Column.__or__, hits) if hits else F.lit(False)
 
 
 def snippet(c: Column, limit: int = 180) -> Column:

@@ -60,7 +60,8 @@ def failures(enriched: DataFrame, doc_id: str) -> DataFrame:
 class FieldRule:
     """A typed, nullable field read from the text: the first match of ``pattern``.
 
-    With ``allowed``, any other value counts as not stated.
+    With ``allowed``, any other value counts as not stated. ``requires`` is a literal that
+    every match holds: texts without it skip the pattern.
     """
 
     name: str
@@ -68,19 +69,23 @@ class FieldRule:
     type: str = "string"
     group: int = 1
     allowed: tuple[str, ...] = ()
+    requires: str = ""
 
-    def column(self, text: Column) -> Column:
-        found = F.nullif(F.regexp_extract(text, self.pattern, self.group), F.lit(""))
+    def found(self, text: Column) -> Column:
+        match = F.regexp_extract(text, self.pattern, self.group)
+        return F.when(F.contains(text, F.lit(self.requires)), match) if self.requires else match
+
+    def typed(self, match: Column) -> Column:
+        stated = F.nullif(match, F.lit(""))
         if self.allowed:
-            lowered = F.lower(found)
-            found = F.when(lowered.isin(*self.allowed), lowered)
-        return found.try_cast(self.type).alias(self.name)
+            stated = F.when(F.lower(match).isin(*self.allowed), F.lower(match))
+        return stated.try_cast(self.type)
 
 
 def extract_fields(df: DataFrame, text: str, keep: Sequence[str], rules: Sequence[FieldRule],
                    mentions: Sequence[str] = ()) -> DataFrame:
     """A typed record per row plus the listed words that the text mentions, as an array."""
-    lowered = F.lower(text)
+    matched = df.select(*keep, F.lower(text).alias("_lowered"), *[r.found(F.col(text)).alias(r.name) for r in rules])
     listed = F.array(*[F.lit(w) for w in mentions]) if mentions else F.array().cast("array<string>")
-    found = F.filter(listed, lambda w: F.contains(lowered, w))
-    return df.select(*keep, *[r.column(F.col(text)) for r in rules], found.alias("mentions"))
+    found = F.filter(listed, lambda w: F.contains(F.col("_lowered"), w))
+    return matched.select(*keep, *[r.typed(F.col(r.name)).alias(r.name) for r in rules], found.alias("mentions"))

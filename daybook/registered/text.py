@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.functions.text import highlight, is_verbatim, snippet
+from daybook.functions.text import highlight, normalise, snippet, stands_in
 from daybook.operators.daily_pick import daily_pick, incremental_todo
 from daybook.operators.enrich import FieldRule, enrich, extract_fields
 from daybook.operators.quality import evidence_verified, run_suite
@@ -98,9 +98,9 @@ def _quotes(spark, d):
     advert = F.regexp_extract("html", '<div class="ad">([^<]*)</div>', 1)
     quotes = F.array(*[F.struct(F.lit(n).alias("kind"), c.alias("quote"))
                        for n, c in (("title", title), ("advert", advert), ("blank", F.lit(" ")))])
-    article = F.regexp_extract("html", "(?s)</h1>(.*)</article>", 1).alias("article")
-    quoted = table(spark, d, "pages").select("page_id", article, F.inline(quotes))
-    return quoted.select("page_id", "kind", is_verbatim(F.col("quote"), F.col("article")).alias("verified"))
+    article = F.regexp_extract("html", "(?s)</h1>(.*)</article>", 1)
+    quoted = table(spark, d, "pages").select("page_id", normalise(article).alias("article"), F.inline(quotes))
+    return quoted.select("page_id", "kind", stands_in(F.col("quote"), F.col("article")).alias("verified"))
 
 
 def _norm_sql(c: str) -> str:
@@ -135,8 +135,8 @@ def _enrich(spark, d):
 
 
 RULES = (
-    FieldRule("license_version", r"version ([0-9]+)", "int"),
-    FieldRule("address", r"([0-9A-Za-z._-]+@[a-z0-9.]+[a-z])"),
+    FieldRule("license_version", r"version ([0-9]+)", "int", requires="version "),
+    FieldRule("address", r"([0-9A-Za-z._-]+@[a-z0-9.]+[a-z])", requires="@"),
     FieldRule("host", r"([0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3})"),
     FieldRule("license_kind", r"(?i)licensed under the ([a-z]+)", allowed=("gnu", "mit", "apache")),
     FieldRule("language_hint", r"^([A-Za-z]+)", allowed=("the", "of", "la", "der")),
