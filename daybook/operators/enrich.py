@@ -13,13 +13,14 @@ from pyspark.sql import types as T
 
 def enrich(
     df: DataFrame, text: str, keep: Sequence[str], fn: Callable[[str], object], result_type: T.DataType,
-    setup: Callable[[], Callable[[str], object]] | None = None,
+    setup: Callable[[], Callable[[str], object]] | None = None, tasks: int | None = None,
 ) -> DataFrame:
     """Add ``result`` and ``error`` columns by calling ``fn`` on each text, in Arrow batches.
 
     A row whose call fails keeps its error and a NULL result, so one bad document
     neither stops the run nor gets lost: the next run sees it as still to do.
-    ``setup``, when given, builds ``fn`` once per task, e.g. to open a client.
+    ``setup``, when given, builds ``fn`` once per task, e.g. to open a client. ``tasks``
+    spreads few rows with slow calls over that many tasks.
     """
     schema = T.StructType(
         [df.schema[c] for c in keep]
@@ -41,7 +42,8 @@ def enrich(
             out["error"] = pd.Series([e for _, e in outcome], index=batch.index, dtype=object)
             yield out
 
-    return df.select(*dict.fromkeys([*keep, text])).mapInPandas(run, schema)
+    rows = df.select(*dict.fromkeys([*keep, text]))
+    return (rows.repartition(tasks) if tasks else rows).mapInPandas(run, schema)
 
 
 def succeeded(enriched: DataFrame) -> DataFrame:

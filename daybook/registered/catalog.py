@@ -10,6 +10,7 @@ from daybook.plans.metrics import metric_definitions
 from daybook.registered.base import TABLES, table
 from daybook.registered.metrics import DAILY_METRICS
 from daybook.schemas import LINEAGE_NODES
+from daybook.session import materialise
 
 # ---- a graph in the data: suppliers and customers are built from nations, nations from regions ----
 
@@ -147,7 +148,9 @@ def _shown(results):
 
 
 def _search_top(spark, d):
-    chosen = search.facet_filter(_found(spark, d), kinds=["Secure"], layers=LANGUAGES)
+    # Hits are stored once, without their texts: the total and the best rows both read them.
+    hits = materialise(_found(spark, d).select("id", "name", "kind", "layer", "relevance"))
+    chosen = search.facet_filter(hits, kinds=["Secure"], layers=LANGUAGES)
     return search.top_results(chosen).select("id", "name", "relevance", "n_more")
 
 

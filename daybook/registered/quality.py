@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.dates import run_id
@@ -32,10 +29,14 @@ def _suite(spark, d):
     return gates.run_gates(tables, SUITE)
 
 
+FRESHNESS = (
+    gates.Gate("clean", "events", tuple(q.fresh("ts", NOW, hours) for hours in (30, 10, 5))),
+    gates.Gate("raw", "orders", (q.fresh("o_orderdate", NOW, 72),)),
+)
+
+
 def _freshness(spark, d):
-    limits = [("events", "ts", 30), ("events", "ts", 10), ("events", "ts", 5), ("orders", "o_orderdate", 72)]
-    parts = [q.run_suite(table(spark, d, t), f"limit {hours}", t, [q.fresh(c, NOW, hours)]) for t, c, hours in limits]
-    return reduce(DataFrame.unionByName, parts)
+    return gates.run_gates({t: table(spark, d, t) for t in ("events", "orders")}, FRESHNESS)
 
 
 def _metadata(spark, d):
@@ -51,18 +52,15 @@ def _group_record(spark, d):
 
 
 # A replayed log: every day of events is one run, checked on its own rows.
-DAY_CHECKS = (q.not_empty(), q.value_range("value", 0, 350), q.non_negative("k"), q.no_nulls(["user_id"]))
+ENOUGH = q.Check("enough_rows", {"n": "count(*)"}, lambda at: (
+    F.when(at("n") < 330, "warn").otherwise("pass"), F.concat(at("n").cast("string"), F.lit(" rows"))))
+DAY_CHECKS = (q.not_empty(), q.value_range("value", 0, 350), q.non_negative("k"), q.no_nulls(["user_id"]), ENOUGH)
 
 
 def _results(spark, d):
     days = events_with_k(spark, d).withColumn("day", F.to_date("ts"))
     checked = q.run_suite(days, "clean", "events", DAY_CHECKS, by=["day"])
-    late = q.run_suite(days, "clean", "events", [
-        q.Check("enough_rows", {"n": "count(*)"}, lambda at: (
-            F.when(at("n") < 330, "warn").otherwise("pass"), F.concat(at("n").cast("string"), F.lit(" rows"))))
-    ], by=["day"])
-    rows = checked.unionByName(late)
-    return rows.withColumn("run_id", run_id(F.col("day").cast("timestamp_ntz"))).drop("day")
+    return checked.withColumn("run_id", run_id(F.col("day").cast("timestamp_ntz"))).drop("day")
 
 
 def _runs(spark, d):
@@ -108,9 +106,9 @@ def _nulls(source: str, step: str, target: str, columns: list[str]) -> str:
     return _record(source, step, target, "no_nulls", bad, "NULL", f"no NULL in {', '.join(columns)}")
 
 
-def _fresh(target: str, column: str, hours: int) -> str:
+def _fresh(step: str, target: str, column: str, hours: int) -> str:
     return f"""
-    SELECT 'limit {hours}' AS step, 'fresh' AS check_name, '{target}' AS target,
+    SELECT '{step}' AS step, 'fresh' AS check_name, '{target}' AS target,
            CASE WHEN age > {hours} THEN 'fail' WHEN age > {hours} / 2 THEN 'warn' ELSE 'pass' END AS status,
            printf('%.1f h old, limit {hours} h', age) AS detail
     FROM (SELECT date_sub('second', CAST(MAX({column}) AS TIMESTAMP), TIMESTAMP '{NOW}') / 3600 AS age FROM {target})"""
@@ -170,7 +168,7 @@ ORACLES = {
                CASE WHEN names IS NULL THEN 'pass' ELSE 'fail' END AS status,
                CASE WHEN names IS NULL THEN 'at least {MIN_ORDERS} rows for every group'
                     ELSE 'fewer than {MIN_ORDERS} rows for ' || names END AS detail FROM short""",
-    "dq_freshness": " UNION ALL ".join([_fresh("events", "ts", h) for h in (30, 10, 5)] + [_fresh("orders", "o_orderdate", 72)]),
+    "dq_freshness": " UNION ALL ".join([_fresh("clean", "events", "ts", h) for h in (30, 10, 5)] + [_fresh("raw", "orders", "o_orderdate", 72)]),
     "dq_documented": f"""
         WITH {_METADATA} SELECT object, COUNT(*) AS n_entries, COUNT(*) FILTER (WHERE description = '') AS n_undocumented,
                CASE WHEN COUNT(*) FILTER (WHERE description = '') > 0 THEN 'fail' ELSE 'pass' END AS status

@@ -176,3 +176,12 @@ def test_error_table_and_summary(spark):
     assert rows(summary) == [("linear", 2.0, 1.0, 1)]
     record = compare.experiment_record(summary, {"model": "linear"}, ["m", "k"]).first()
     assert record.params == {"model": "linear"} and record.metrics == {"mae_m": 2.0, "mae_k": 1.0, "n_points": 1.0}
+
+
+def test_experiment_log_grows(spark):
+    record = spark.sql("SELECT 'r' AS run, map('model', 'linear') AS params, map('mae_m', 1.5D) AS metrics")
+    for minute in (1, 2):
+        compare.log_experiments(record, datetime(2024, 1, 1, 0, minute), "t_ops.experiments")
+    log = spark.table("t_ops.experiments")
+    assert rows(log.select("run", F.col("metrics")["mae_m"], "logged_at"), "logged_at") == [
+        ("r", 1.5, datetime(2024, 1, 1, 0, 1)), ("r", 1.5, datetime(2024, 1, 1, 0, 2))]
