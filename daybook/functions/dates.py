@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 
 def utc_naive(iso_with_offset: Column) -> Column:
-    """ISO text with a zone offset as a naive UTC timestamp (the session zone must be UTC)."""
-    return iso_with_offset.cast("timestamp").cast("timestamp_ntz")
+    """ISO text with a zone offset as a naive UTC timestamp, whatever the session zone."""
+    local = iso_with_offset.cast("timestamp").cast("timestamp_ntz")
+    return F.convert_timezone(None, F.lit("UTC"), local)
 
 
 def iso_naive(iso: Column) -> Column:

@@ -15,8 +15,9 @@ from daybook.functions.scoring import rounded
 class Measure:
     """One output column: ``how`` is min, max, avg or sum of ``source``.
 
-    With ``scale`` the sum runs in decimals, so that the result does not depend on
-    the order in which tasks add up doubles.
+    ``scale`` states how many decimals the source has. Sums then run in whole units of
+    the last decimal, so that the result does not depend on the order in which tasks add
+    up doubles; a total beyond the 64-bit range stops the query.
     """
 
     name: str
@@ -28,7 +29,8 @@ class Measure:
     def column(self) -> Column:
         value = F.col(self.source)
         if self.how in ("sum", "avg") and self.scale is not None:
-            total = F.sum(value.cast(f"decimal(18,{self.scale})")).cast("double")
+            units = 10.0**self.scale
+            total = F.sum(F.rint(value * units).cast("long")) / units
             out = total if self.how == "sum" else total / F.count(value)
         else:
             out = {"min": F.min, "max": F.max, "avg": F.avg, "sum": F.sum}[self.how](value)

@@ -9,7 +9,6 @@ costs one exchange after the rollup.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,13 +40,14 @@ def _features() -> tuple[Column, Column, Column]:
     return F.col("lag_1"), F.col("doy_sin"), F.col("doy_cos")
 
 
-def _wide(points: DataFrame, metrics: Sequence[str], non_negative: Sequence[str], is_backtest: bool) -> DataFrame:
+def _wide(points: DataFrame, metrics: Sequence[str], non_negative: Sequence[str], is_backtest: bool,
+          run: Sequence[str] = ()) -> DataFrame:
     """Pivot predictions to one row per key and day, only where every metric could be predicted."""
     value = F.when(F.col("metric").isin(*non_negative), clip_at_zero(F.col("yhat"))).otherwise(F.col("yhat"))
     points = points.withColumn("yhat", rounded(value, 1))
     per_metric = [F.max(F.when(F.col("metric") == m, F.col("yhat"))).alias(f"predicted_{m}") for m in metrics]
     last_count = F.max(F.when(F.col("metric") == metrics[-1], F.col("n"))).alias("training_rows")
-    wide = points.groupBy("key", "target_date").agg(
+    wide = points.groupBy("key", "target_date", *run).agg(
         *per_metric, last_count, F.count("yhat").alias("_done")
     )
     return wide.where(F.col("_done") == len(metrics)).select(
@@ -56,28 +56,32 @@ def _wide(points: DataFrame, metrics: Sequence[str], non_negative: Sequence[str]
     )
 
 
-def fit_per_key(history: DataFrame, metrics: Sequence[str]) -> DataFrame:
-    """One row per key and metric: slopes, intercept and training rows; NULL slopes below the minimum."""
+def _fit(rows: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """One row per group: moments, slopes, intercept and the last day; NULL slopes below the minimum."""
     agg = regression.moments(F.col("y"), _features())
-    fitted = (
-        _long(history, metrics)
-        .groupBy("key", "metric")
-        .agg(*[c.alias(k) for k, c in agg.items()],
-             F.max("date").alias("last_date"), F.max_by("y", "date").alias("last_y"))
+    fitted = rows.groupBy(*groups).agg(
+        *[c.alias(k) for k, c in agg.items()],
+        F.max("date").alias("last_date"), F.max_by("y", "date").alias("last_y"),
     )
     enough = F.col("n") >= MIN_TRAINING_ROWS
     fitted = fitted.withColumns({k: F.when(enough, b) for k, b in regression.coefficients().items()})
     return fitted.withColumn("intercept", regression.intercept())
 
 
-def next_day_forecast(history: DataFrame, metrics: Sequence[str], non_negative: Sequence[str] = ()) -> DataFrame:
-    """Predict the day after each key's last row, that row's own values serving as the lag."""
+def fit_per_key(history: DataFrame, metrics: Sequence[str]) -> DataFrame:
+    """One fit per key and metric on its whole history."""
+    return _fit(_long(history, metrics), ["key", "metric"])
+
+
+def _next_day(fitted: DataFrame) -> DataFrame:
+    """Predict the day after the last row, that row's own value serving as the lag."""
     target = F.date_add("last_date", 1)
     sin, cos = season(target)
-    points = fit_per_key(history, metrics).withColumns(
-        {"target_date": target, "yhat": regression.predicted((F.col("last_y"), sin, cos))}
-    )
-    return _wide(points, metrics, non_negative, is_backtest=False)
+    return fitted.withColumns({"target_date": target, "yhat": regression.predicted((F.col("last_y"), sin, cos))})
+
+
+def next_day_forecast(history: DataFrame, metrics: Sequence[str], non_negative: Sequence[str] = ()) -> DataFrame:
+    return _wide(_next_day(fit_per_key(history, metrics)), metrics, non_negative, is_backtest=False)
 
 
 def walk_forward(history: DataFrame, metrics: Sequence[str], non_negative: Sequence[str] = ()) -> DataFrame:
@@ -102,9 +106,16 @@ def skipped_keys(history: DataFrame, forecasts: DataFrame) -> DataFrame:
 def live_forecasts(
     daily: DataFrame, live_days: Sequence[str], metrics: Sequence[str], non_negative: Sequence[str] = ()
 ) -> DataFrame:
-    """The forecasts that runs on each of ``live_days`` made for the day after."""
-    made = [next_day_forecast(settled_history(daily, day, metrics), metrics, non_negative) for day in live_days]
-    return reduce(DataFrame.unionByName, made)
+    """The forecasts that runs on each of ``live_days`` make for the day after, in one plan.
+
+    A lag looks back only, so cutting the history at a day does not change the rows
+    before it: each row joins the fit of every run that already knew it.
+    """
+    rows = _long(settled_history(daily, max(live_days), metrics), metrics)
+    runs = F.explode(F.array(*[F.lit(day).cast("date") for day in live_days])).alias("run")
+    known = rows.select("*", runs).where(F.col("date") <= F.col("run"))
+    made = _next_day(_fit(known, ["key", "metric", "run"]))
+    return _wide(made, metrics, non_negative, is_backtest=False, run=["run"]).dropDuplicates(["key", "target_date"])
 
 
 def add_backtest(
