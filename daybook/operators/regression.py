@@ -62,7 +62,8 @@ def coefficients(at=F.col) -> dict[str, Column]:
         F.when(solvable2, F.try_divide(target[1] * gram[2][2] - target[2] * gram[1][2], det2)),
         F.when(solvable2, F.try_divide(target[2] * gram[1][1] - target[1] * gram[1][2], det2)),
     ]
-    constant_lag = gram[0][0] == 0
+    # A variance this far below the squared mean is rounding noise of a constant.
+    constant_lag = gram[0][0] <= 1e-20 * at("m_x1") * at("m_x1")
     return {f"b{k + 1}": F.when(constant_lag, season_only[k]).otherwise(full[k]) for k in range(3)}
 
 

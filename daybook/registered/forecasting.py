@@ -93,15 +93,15 @@ def _moments_sql(over: str) -> str:
 
 _DET = "(c11 * (c22 * c33 - c23 * c23) - c12 * (c12 * c33 - c23 * c13) + c13 * (c12 * c23 - c22 * c13))"
 _SLOPES = f"""
-    CASE WHEN c11 = 0 THEN 0.0
+    CASE WHEN c11 <= 1e-20 * m1 * m1 THEN 0.0
          WHEN abs({_DET}) > 1e-10 * c11 * c22 * c33 THEN
               (c1y * (c22 * c33 - c23 * c23) - c12 * (c2y * c33 - c23 * c3y) + c13 * (c2y * c23 - c22 * c3y)) / {_DET}
     END AS b1,
-    CASE WHEN c11 = 0 THEN (c2y * c33 - c3y * c23) / (c22 * c33 - c23 * c23)
+    CASE WHEN c11 <= 1e-20 * m1 * m1 THEN (c2y * c33 - c3y * c23) / (c22 * c33 - c23 * c23)
          WHEN abs({_DET}) > 1e-10 * c11 * c22 * c33 THEN
               (c11 * (c2y * c33 - c23 * c3y) - c1y * (c12 * c33 - c23 * c13) + c13 * (c12 * c3y - c2y * c13)) / {_DET}
     END AS b2,
-    CASE WHEN c11 = 0 THEN (c3y * c22 - c2y * c23) / (c22 * c33 - c23 * c23)
+    CASE WHEN c11 <= 1e-20 * m1 * m1 THEN (c3y * c22 - c2y * c23) / (c22 * c33 - c23 * c23)
          WHEN abs({_DET}) > 1e-10 * c11 * c22 * c33 THEN
               (c11 * (c22 * c3y - c2y * c23) - c12 * (c12 * c3y - c2y * c13) + c1y * (c12 * c23 - c22 * c13)) / {_DET}
     END AS b3"""
@@ -175,8 +175,8 @@ _ERRORS = " UNION ALL ".join(
 
 ORACLES = {
     "ols_fit": f"""
-        WITH {LINES_DAILY} SELECT key, metric, n AS training_rows, ROUND(intercept, 4) AS intercept,
-               ROUND(b1, 4) AS b1, ROUND(b2, 4) AS b2, ROUND(b3, 4) AS b3
+        WITH {LINES_DAILY} SELECT key, metric, n AS training_rows, ROUND(intercept, 4) + 0.0 AS intercept,
+               ROUND(b1, 4) + 0.0 AS b1, ROUND(b2, 4) + 0.0 AS b2, ROUND(b3, 4) + 0.0 AS b3
         FROM ({_fit_sql(_LINE_HISTORY, LINE_METRICS)})""",
     "next_day_forecast": f"""
         WITH {EVENTS_DAILY} {next_day_sql(_event_history(LIVE_DAYS[-1]), EVENT_METRICS, EVENT_NON_NEGATIVE)}""",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import time
+from collections import Counter
 from pathlib import Path
 
 import duckdb
@@ -44,8 +45,9 @@ def compare(spark_result: pa.Table, oracle: pa.Table) -> str:
     a, b = types_of(spark_result), types_of(oracle)
     if a != b:
         return "types " + ", ".join(f"{n}: {a[n]} != {b[n]}" for n in names if a[n] != b[n])
-    wrong = [(x, y) for x, y in zip(mine, other) if repr(x) != repr(y)]
-    return f"{len(wrong)} of {len(mine)} rows, first {wrong[0]}" if wrong else ""
+    left, right = Counter(map(repr, mine)), Counter(map(repr, other))
+    extra, missing = list((left - right).elements()), list((right - left).elements())
+    return f"{len(extra)} of {len(mine)} rows, e.g. {extra[0]} against {missing[0]}" if extra else ""
 
 
 def main(sf_dir: str, only: list[str]) -> int:
