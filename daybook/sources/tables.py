@@ -48,11 +48,12 @@ def publish(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
     df.write.mode("overwrite").format("parquet").partitionBy(*partition_by).saveAsTable(name)
 
 
-def publish_view(spark: SparkSession, name: str, query: str) -> None:
+def publish_view(spark: SparkSession, name: str, query: str, description: str = "") -> None:
     database = name.rpartition(".")[0]
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+    words = description.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} COMMENT '{words}' AS {query}")
 
 
 def replace_partitions(df: DataFrame, name: str) -> None:
