@@ -15,16 +15,21 @@ def daily_pick(docs: DataFrame, issued_at: str, doc_id: str, as_of: str, cutoff_
     """For each run date, the latest document of the 24 hours before its cut-off.
 
     Shifting the timestamp by the cut-off turns the window into a day bucket, so this
-    is a map-side combined aggregate instead of a range join. The first date of the
-    series has no full window and is never picked.
+    is a map-side combined aggregate instead of a range join. Only ids and timestamps are
+    aggregated; the picks, one narrow row per calendar day and so small enough to
+    broadcast by construction, then fetch their documents without moving the others.
+    The first date of the series has no full window and is never picked.
     """
     cutoff = F.expr(f"INTERVAL {int(cutoff_hour)} HOURS")
     first_day = docs.select(F.min(F.to_date(issued_at)).cast("timestamp_ntz")).scalar()
     last = F.lit(as_of).cast("timestamp_ntz")
     # Stated on the timestamp itself, so that the upper bound reaches the scan.
-    in_range = docs.where((F.col(issued_at) >= first_day + cutoff) & (F.col(issued_at) < last + cutoff))
-    bucketed = in_range.withColumn("run_date", run_date(F.col(issued_at), cutoff_hour))
-    return latest_wins(bucketed, ["run_date"], issued_at, [doc_id])
+    known = docs.where(F.col(issued_at) < last + cutoff)
+    in_range = known.where(F.col(issued_at) >= first_day + cutoff)
+    bucketed = in_range.select(run_date(F.col(issued_at), cutoff_hour).alias("run_date"), issued_at, doc_id)
+    picks = latest_wins(bucketed, ["run_date"], issued_at, [doc_id])
+    found = known.join(F.broadcast(picks), [issued_at, doc_id])
+    return found.select("run_date", *docs.columns).dropDuplicates(["run_date"])
 
 
 def incremental_todo(picks: DataFrame, done: DataFrame) -> DataFrame:

@@ -1,7 +1,9 @@
 """The daily run on stored tables: land, clean, summarise, forecast, each behind its gate.
 
-Raw tables only grow. The clean and daily tables are rebuilt from them, so that running
-again never duplicates anything; forecasts replace only the days they are made for.
+Raw tables only grow. A run unpacks what it landed, merges it into the days it touches
+and summarises those days again; ``rebuild`` derives the same tables from all raw rows.
+Both can be repeated without duplicating anything. Forecasts replace only the days they
+are made for.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from daybook.operators.rollup import Measure, daily_rollup
 from daybook.plans.forecast import next_day_forecast, settled_history, skipped_keys, walk_forward
 from daybook.plans.gates import MAX_STALENESS_HOURS, Gate, RunLog, run_gates, warning
 from daybook.schemas import RAW_PAYLOADS, forecast_schema
+from daybook.session import materialise
 from daybook.sources.json_payload import unpack_payloads
 from daybook.sources.landing import land_raw, read_payload_files
 from daybook.sources.tables import absent, append, ensure_table, publish, replace_partitions
@@ -47,11 +50,41 @@ def land(spark: SparkSession, path: str, config: DailyConfig, fetched_at: dateti
     append(land_raw(files, "key", "source_url", "raw_json", F.lit(fetched_at)), RAW)
 
 
-def clean(spark: SparkSession, config: DailyConfig) -> DataFrame:
-    """Typed rows, the newest fetch of every (key, hour); equal fetch times fall back to the source."""
-    raw = spark.table(RAW)
+def _unpacked(raw: DataFrame, config: DailyConfig) -> DataFrame:
     rows = unpack_payloads(raw, "raw_json", config.payload_measures, keep=["key", "fetched_at", "source_url"])
-    return latest_wins(rows, ["key", "ts"], "fetched_at", ["source_url"]).drop("fetched_at", "source_url")
+    return rows.withColumn("date", F.to_date("ts"))
+
+
+def _newest(rows: DataFrame) -> DataFrame:
+    """The newest fetch of every (key, hour); equal fetch times fall back to the source."""
+    return latest_wins(rows, ["key", "ts"], "fetched_at", ["source_url"])
+
+
+def _summary(clean: DataFrame, config: DailyConfig) -> DataFrame:
+    return daily_rollup(clean, "key", "ts", config.measures)
+
+
+def rebuild(spark: SparkSession, config: DailyConfig) -> None:
+    """Full refresh of the clean and daily tables from every raw row."""
+    publish(_newest(_unpacked(spark.table(RAW), config)), CLEAN, partition_by=["date"])
+    publish(_summary(spark.table(CLEAN), config), DAILY, partition_by=["date"])
+
+
+def refresh(spark: SparkSession, config: DailyConfig, since: datetime) -> None:
+    """Merge the fetches since ``since`` into the days they touch; other days are neither read nor written."""
+    if not (spark.catalog.tableExists(CLEAN) and spark.catalog.tableExists(DAILY)):
+        return rebuild(spark, config)
+    raw = spark.table(RAW).where(F.col("fetched_at") >= F.lit(since).cast("timestamp_ntz"))
+    fresh_rows = materialise(_unpacked(raw, config))
+    # The list of days is bounded by the calendar and prunes partitions at planning time.
+    days = [r.date for r in fresh_rows.select("date").distinct().collect()]
+    if not days:
+        return None
+    stored = spark.table(CLEAN).where(F.col("date").isin(*days))
+    merged = _newest(stored.unionByName(fresh_rows.select(*stored.columns)))
+    replace_partitions(materialise(merged), CLEAN)
+    replace_partitions(_summary(spark.table(CLEAN).where(F.col("date").isin(*days)), config), DAILY)
+    return None
 
 
 def forecast(spark: SparkSession, config: DailyConfig, as_of: str) -> DataFrame:
@@ -79,11 +112,10 @@ def run(spark: SparkSession, path: str, config: DailyConfig, now: datetime, trig
         landed = group_counts(raw.where(F.col("fetched_at") >= F.lit(now).cast("timestamp_ntz")), "key", config.keys)
         log.record(group_count_record(landed, "bronze", RAW, 1))
 
-        publish(clean(spark, config), CLEAN)
+        refresh(spark, config, now)
         log.record(run_gates({CLEAN: spark.table(CLEAN)}, [Gate("silver", CLEAN, (
             not_empty(), no_nulls(list(config.required))))]))
 
-        publish(daily_rollup(spark.table(CLEAN), "key", "ts", config.measures), DAILY)
         log.record(run_gates({DAILY: spark.table(DAILY)}, [Gate("gold", DAILY, (not_empty(),))]))
         today = group_counts(spark.table(DAILY).where(F.col("date") == F.lit(as_of).cast("date")), "key", config.keys)
         log.record(group_count_record(today, "gold", DAILY, 1))

@@ -51,6 +51,11 @@ def test_daily_run(spark, tmp_path):
     assert spark.table(daily_run.RAW).count() == 4 and spark.table(daily_run.CLEAN).count() == 168
     after = spark.table(daily_run.DAILY).where("key = 'oslo'").agg(F.min("t_avg")).first()[0]
     assert after == pytest.approx(before + 5.0)  # the newer fetch replaced every hour
+    daily = spark.table(daily_run.DAILY).select("key", F.col("date").cast("string"), "t_avg", "p_sum")
+    merged = rows(daily, "key", "date")
+    daily_run.rebuild(spark, CONFIG)
+    assert rows(spark.table(daily_run.DAILY).select(*daily.columns[:1], F.col("date").cast("string"), "t_avg", "p_sum"),
+                "key", "date") == merged
     live = spark.table(daily_run.FORECAST).where("NOT is_backtest").groupBy("target_date").count()
     assert rows(live.select(F.col("target_date").cast("string"), "count"), "target_date") == [("2024-03-21", 2), ("2024-03-22", 2)]
 
