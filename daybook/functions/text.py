@@ -16,6 +16,7 @@ WHITESPACE_CHARACTERS = (
     "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 LINE_BREAK = r"\r\n|[\n\x0B\f\r\x1C-\x1E\x85\u2028\u2029]"
+OTHER_LINE_ENDS = "\x0b\f\r\x1c\x1d\x1e\x85\u2028\u2029"
 
 # Words that carry no meaning in a search.
 STOPWORDS = (
@@ -32,6 +33,13 @@ def collapse(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, WHITESPACE, " "))
 
 
+def lines(c: Column) -> Column:
+    """The lines of a text. Substring tests find the texts with nothing but ``\\n`` as line end,
+    which is nearly all of them, and those take the plain split."""
+    other = reduce(Column.__or__, [F.contains(c, F.lit(x)) for x in OTHER_LINE_ENDS])
+    return F.when(other, F.split(c, LINE_BREAK)).otherwise(F.split(c, "\n"))
+
+
 def normalise(c: Column) -> Column:
     return collapse(F.lower(c))
 

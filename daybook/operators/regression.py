@@ -1,8 +1,11 @@
 """Least squares with an intercept on three features, from streaming moments.
 
-The means and covariances of (lag, sin, cos, y) are all a fit needs. As aggregates
-they combine before the shuffle, and over an expanding window Spark extends them
-row by row, so a walk-forward backtest is one pass instead of one fit per day.
+The means and covariances of (x1, x2, x3, y) are all a fit needs. As aggregates they
+combine before the shuffle, and over an expanding window Spark extends them row by row,
+so a walk-forward backtest is one pass instead of one fit per day.
+
+Formulas are SQL text over the moment columns: n, m_<name> for means and c_<a>_<b> for
+covariances, names in alphabetical order.
 """
 
 from __future__ import annotations
@@ -15,68 +18,66 @@ from pyspark.sql import functions as F
 FEATURES = ("x1", "x2", "x3")
 
 
-def moments(y: Column, x: tuple[Column, Column, Column], over: WindowSpec | None = None) -> dict[str, Column]:
+def moments(y: str, x: tuple[str, str, str], over: WindowSpec | None = None) -> dict[str, Column]:
     """Count, means and covariances over the rows where the target and every feature are present."""
-    present = y.isNotNull()
-    for c in x:
-        present = present & c.isNotNull()
-    named = {name: F.when(present, c) for name, c in zip(FEATURES, x)} | {"y": F.when(present, y)}
+    present = " AND ".join(f"{c} IS NOT NULL" for c in (y, *x))
+    value = {name: f"CASE WHEN {present} THEN {c} END" for name, c in zip((*FEATURES, "y"), (*x, y))}
+    out = {"n": f"count({value['y']})"}
+    out |= {f"m_{name}": f"avg({v})" for name, v in value.items()}
+    out |= {
+        f"c_{a}_{b}": f"covar_pop({value[a]}, {value[b]})"
+        for a, b in combinations_with_replacement(value, 2) if (a, b) != ("y", "y")
+    }
+    return {k: F.expr(v) if over is None else F.expr(v).over(over) for k, v in out.items()}
+
 
-    out = {"n": F.count(named["y"])}
-    for name, c in named.items():
-        out[f"m_{name}"] = F.avg(c)
-    for a, b in combinations_with_replacement(named, 2):
-        if (a, b) != ("y", "y"):
-            out[f"c_{a}_{b}"] = F.covar_pop(named[a], named[b])
-    return {k: c.over(over) for k, c in out.items()} if over is not None else out
+def _cov(a: str, b: str) -> str:
+    return f"c_{min(a, b)}_{max(a, b)}"
 
 
-def _det3(m: list[list[Column]]) -> Column:
+def _det3(m: list[list[str]]) -> str:
     (a, b, c), (d, e, f), (g, h, i) = m
-    return a * (e * i - f * h) - b * (d * i - f * g) + c * (d * h - e * g)
+    return f"({a} * ({e} * {i} - {f} * {h}) - {b} * ({d} * {i} - {f} * {g}) + {c} * ({d} * {h} - {e} * {g}))"
 
 
-def coefficients(at=F.col) -> dict[str, Column]:
-    """Slopes from the moment columns; ``at`` maps a moment name to its column.
+def coefficients() -> dict[str, Column]:
+    """The slopes b1, b2, b3 from the moment columns.
 
-    A lag that never varies carries no information and gets slope 0, as in a
-    least-norm fit; any other singular system gives NULL.
+    A lag that never varies carries no information and gets slope 0, as in a least-norm
+    fit; any other singular system gives NULL.
     """
-    def cov(a: str, b: str) -> Column:
-        return at(f"c_{min(a, b)}_{max(a, b)}")
-
-    gram = [[cov(a, b) for b in FEATURES] for a in FEATURES]
-    target = [cov(a, "y") for a in FEATURES]
+    gram = [[_cov(a, b) for b in FEATURES] for a in FEATURES]
+    target = [_cov(a, "y") for a in FEATURES]
+    (v1, _, _), (_, v2, c23), (_, _, v3) = gram
 
     det = _det3(gram)
-    solvable = F.abs(det) > 1e-10 * gram[0][0] * gram[1][1] * gram[2][2]
-    full = []
+    solvable = f"abs({det}) > 1e-10 * {v1} * {v2} * {v3}"
+    whole = []
     for k in range(3):
         swapped = [[target[i] if j == k else gram[i][j] for j in range(3)] for i in range(3)]
-        full.append(F.when(solvable, F.try_divide(_det3(swapped), det)))
+        whole.append(f"try_divide({_det3(swapped)}, {det})")
 
-    det2 = gram[1][1] * gram[2][2] - gram[1][2] * gram[1][2]
-    solvable2 = F.abs(det2) > 1e-10 * gram[1][1] * gram[2][2]
+    det2 = f"({v2} * {v3} - {c23} * {c23})"
     season_only = [
-        F.lit(0.0),
-        F.when(solvable2, F.try_divide(target[1] * gram[2][2] - target[2] * gram[1][2], det2)),
-        F.when(solvable2, F.try_divide(target[2] * gram[1][1] - target[1] * gram[1][2], det2)),
+        "0D",
+        f"try_divide({target[1]} * {v3} - {target[2]} * {c23}, {det2})",
+        f"try_divide({target[2]} * {v2} - {target[1]} * {c23}, {det2})",
     ]
     # A variance this far below the squared mean is rounding noise of a constant.
-    constant_lag = gram[0][0] <= 1e-20 * at("m_x1") * at("m_x1")
-    return {f"b{k + 1}": F.when(constant_lag, season_only[k]).otherwise(full[k]) for k in range(3)}
+    constant_lag = f"{v1} <= 1e-20 * m_x1 * m_x1"
+    return {
+        f"b{k + 1}": F.expr(f"CASE WHEN {constant_lag} THEN {season_only[k]} WHEN {solvable} THEN {whole[k]} END")
+        for k in range(3)
+    }
 
 
-def intercept(slope=F.col, at=F.col) -> Column:
-    out = at("m_y")
-    for k, name in enumerate(FEATURES, start=1):
-        out = out - slope(f"b{k}") * at(f"m_{name}")
-    return out
+def intercept() -> Column:
+    return F.expr("m_y - b1 * m_x1 - b2 * m_x2 - b3 * m_x3")
 
 
-def predicted(x: tuple[Column, Column, Column], slope=F.col, at=F.col) -> Column:
+def predicted(x: tuple[Column, Column, Column]) -> Column:
     """Written around the means, which keeps the rounding error small on short windows."""
-    out = at("m_y")
+    out = F.col("m_y")
     for k, (name, value) in enumerate(zip(FEATURES, x), start=1):
-        out = out + slope(f"b{k}") * (value - at(f"m_{name}"))
+        out = out + F.col(f"b{k}") * (value - F.col(f"m_{name}"))
     return out

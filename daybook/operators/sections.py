@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.functions.text import LINE_BREAK, collapse, strip
+from daybook.functions.text import collapse, lines, strip
 
 # A header line ".NAME...rest", the lines that close a section, the least length kept.
 HEADER = r"^\.([A-Z][A-Z0-9 /,&-]*?)\.\.\.(.*)$"
@@ -34,8 +34,8 @@ def split_sections(
         return F.struct(position.alias("pos"), bare.rlike(header).alias("opens"),
                         bare.isin(*terminators).alias("closes"))
 
-    lines = df.select(*keep, F.split(text, LINE_BREAK).alias("_lines"))
-    marked = lines.select(
+    split = df.select(*keep, lines(F.col(text)).alias("_lines"))
+    marked = split.select(
         *keep, "_lines",
         F.filter(F.transform("_lines", mark), lambda m: m["opens"] | m["closes"]).alias("_marks"),
     )

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions.dates import season
@@ -36,8 +36,7 @@ def _long(history: DataFrame, metrics: Sequence[str]) -> DataFrame:
     return add_season(lagged)
 
 
-def _features() -> tuple[Column, Column, Column]:
-    return F.col("lag_1"), F.col("doy_sin"), F.col("doy_cos")
+FEATURES = ("lag_1", "doy_sin", "doy_cos")
 
 
 def _wide(points: DataFrame, metrics: Sequence[str], non_negative: Sequence[str], is_backtest: bool,
@@ -58,7 +57,7 @@ def _wide(points: DataFrame, metrics: Sequence[str], non_negative: Sequence[str]
 
 def _fit(rows: DataFrame, groups: Sequence[str]) -> DataFrame:
     """One row per group: moments, slopes, intercept and the last day; NULL slopes below the minimum."""
-    agg = regression.moments(F.col("y"), _features())
+    agg = regression.moments("y", FEATURES)
     fitted = rows.groupBy(*groups).agg(
         *[c.alias(k) for k, c in agg.items()],
         F.max("date").alias("last_date"), F.max_by("y", "date").alias("last_y"),
@@ -88,10 +87,10 @@ def walk_forward(history: DataFrame, metrics: Sequence[str], non_negative: Seque
     """For every day, the prediction of a model fitted on the earlier days only."""
     before = by_day("key", "metric").rowsBetween(Window.unboundedPreceding, -1)
     rows = _long(history, metrics)
-    rows = rows.withColumns(regression.moments(F.col("y"), _features(), over=before))
+    rows = rows.withColumns(regression.moments("y", FEATURES, over=before))
     rows = rows.where(F.col("n") >= MIN_TRAINING_ROWS)
     rows = rows.withColumns(regression.coefficients())
-    points = rows.withColumns({"target_date": F.col("date"), "yhat": regression.predicted(_features())})
+    points = rows.withColumns({"target_date": F.col("date"), "yhat": regression.predicted(tuple(F.col(c) for c in FEATURES))})
     return _wide(points, metrics, non_negative, is_backtest=True)
 
 
