@@ -20,7 +20,7 @@ def light(status: Column) -> Column:
 
 
 def rounded(c: Column, digits: int) -> Column:
-    """Round the scaled double, half away from zero, as the reference results do.
+    """Round the scaled double, half away from zero, which is what C's ``round`` does to it.
 
     Spark's ``round(c, digits)`` rounds the shortest decimal text of the value instead,
     which differs where arithmetic lands a hair beside a tie.

@@ -23,11 +23,13 @@ def declared_edges(nodes: DataFrame) -> DataFrame:
 def lineage_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Edges with the type of both ends; an edge from an unknown node keeps a NULL type.
 
-    Nodes are unique. The join on the upstream end may meet a hot node: adaptive
-    execution splits that partition, as ``nodes`` has one row to repeat for it.
+    Nodes shrink to one row each first, so that copies cannot multiply edges. The join
+    on the upstream end may meet a hot node: adaptive execution splits that partition, as
+    there is one row to repeat for it.
     """
-    up = nodes.select(F.col("node").alias("upstream"), F.col("type").alias("upstream_type"))
-    down = nodes.select(F.col("node").alias("downstream"), F.col("type").alias("downstream_type"))
+    unique = nodes.groupBy("node").agg(F.min("type").alias("type"))
+    up = unique.select(F.col("node").alias("upstream"), F.col("type").alias("upstream_type"))
+    down = unique.select(F.col("node").alias("downstream"), F.col("type").alias("downstream_type"))
     typed = edges.join(up, "upstream", "left").join(down, "downstream", "left")
     return typed.select("upstream", "downstream", "upstream_type", "downstream_type", "built_by")
 

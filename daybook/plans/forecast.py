@@ -1,9 +1,9 @@
 """Next-day forecasts, their walk-forward backtest and the comparison with what happened.
 
-Metrics are unpivoted to rows (key, metric, date, y): each metric then runs through
-the same expressions. The rows are hashed by key once; the windows per (key, metric)
-and the pivot per (key, date) both reuse that partitioning, so the whole backtest
-costs one exchange after the rollup.
+Metrics become rows (key, metric, date, y): each metric then runs through the same
+expressions. The daily rows are hashed by key once; the windows per (key, metric) and
+the pivot per (key, date) both reuse that partitioning, so the whole backtest costs one
+exchange after the rollup.
 """
 
 from __future__ import annotations
@@ -30,10 +30,14 @@ def settled_history(daily: DataFrame, as_of: str, metrics: Sequence[str], strict
 
 
 def _long(history: DataFrame, metrics: Sequence[str]) -> DataFrame:
-    values = history.select("key", "date", *[F.col(m).cast("double").alias(m) for m in metrics])
-    rows = values.unpivot(["key", "date"], list(metrics), "metric", "y").repartition("key")
-    lagged = rows.withColumn("lag_1", F.lag("y").over(by_day("key", "metric")))
-    return add_season(lagged)
+    """Rows (key, metric, date, y) with lag and season, hashed by key.
+
+    The rows travel in their wide form and are unpivoted after the exchange, by a
+    generator, as that keeps the partitioning.
+    """
+    pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("y")) for m in metrics])
+    rows = history.select("key", "date", *metrics).repartition("key").select("key", "date", F.inline(pairs))
+    return add_season(rows.withColumn("lag_1", F.lag("y").over(by_day("key", "metric"))))
 
 
 FEATURES = ("lag_1", "doy_sin", "doy_cos")

@@ -31,32 +31,35 @@ def _latest_wins(spark, d):
     return latest_wins(rows, ["user_id", "hour"], "version", ["event_id"])
 
 
-def _json_payloads(spark, d):
-    """Events packed into raw JSON payloads of at most 64 rows: event_id is unique, so no pack can grow."""
+PACK_BITS = 6
+
+
+def _json_arrays_to_rows(spark, d):
+    """Events packed into raw JSON payloads and unpacked again.
+
+    A pack holds at most 64 rows whatever the data: it is cut from the running row number
+    of a scan task, so neither a hot type nor copies of one event can make it grow.
+    """
     rows = events_with_k(spark, d).select(
         F.col("event_type").alias("key"),
-        F.floor(F.col("event_id") / 64).alias("pack"),
+        F.shiftright(F.monotonically_increasing_id(), PACK_BITS).alias("pack"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm").alias("time"),
         F.col("event_id").cast("double").alias("event_id"), "value", F.col("k").cast("double").alias("k"),
     )
-    return pack_payloads(rows, ["key", "pack"], "time", ["event_id", "value", "k"])
-
-
-def _json_arrays_to_rows(spark, d):
-    rows = unpack_payloads(_json_payloads(spark, d), "raw_json", ["event_id", "value", "k"], keep=["key", "pack"])
-    return rows.select("key", "pack", "ts", F.col("event_id").cast("long").alias("event_id"), "value", "k")
+    measures = ["event_id", "value", "k"]
+    payloads = pack_payloads(rows, ["key", "pack"], "time", measures)
+    unpacked = unpack_payloads(payloads, "raw_json", measures, keep=["key"])
+    return unpacked.select("key", "ts", F.col("event_id").cast("long").alias("event_id"), "value", "k")
 
 
 def _land_raw(spark, d):
-    fetched = F.timestamp_add("HOUR", F.col("pack").cast("int"), F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))
-    payloads = _json_payloads(spark, d).select(
-        "key", F.concat(F.lit("events/"), F.col("pack").cast("string")).alias("source_url"), "raw_json",
-        fetched.alias("fetched_at"),
-    )
-    landed = land_raw(payloads, "key", "source_url", "raw_json", F.col("fetched_at"))
+    """Every event's JSON properties as a payload of its type."""
+    payloads = table(spark, d, "events").select(
+        "event_type", F.concat(F.lit("events/"), F.col("event_id").cast("string")).alias("source"), "props", "ts")
+    landed = land_raw(payloads, "event_type", "source", "props", F.timestamp_add("DAY", F.lit(1), F.col("ts")))
     return landed.groupBy("key").agg(
         F.count("*").alias("rows_landed"), F.max("fetched_at").alias("last_fetched_at"),
-        F.count_if(F.length("raw_json") > 0).alias("with_payload"),
+        F.max("source_url").alias("last_source"), F.count_if(F.length("raw_json") > 0).alias("with_payload"),
     )
 
 
@@ -155,7 +158,7 @@ ORACLES = {
                    ROW_NUMBER() OVER (PARTITION BY user_id, date_trunc('hour', ts) ORDER BY ts DESC, event_id DESC) AS rn
             FROM events) WHERE rn = 1""",
     "json_arrays_to_rows": """
-        SELECT event_type AS key, event_id // 64 AS pack, CAST(date_trunc('minute', ts) AS TIMESTAMP) AS ts,
+        SELECT event_type AS key, CAST(date_trunc('minute', ts) AS TIMESTAMP) AS ts,
                event_id, value, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events""",
     "json_field": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
     "iso_offset_utc": """
@@ -168,10 +171,9 @@ ORACLES = {
                ROUND(COS(2 * PI() * dayofyear(date) / 365.25), 9) AS doy_cos
         FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders)""",
     "land_raw": """
-        SELECT key, COUNT(*) AS rows_landed,
-               TIMESTAMP '2024-02-01 00:00:00' + to_hours(CAST(MAX(pack) AS INTEGER)) AS last_fetched_at,
-               COUNT(*) AS with_payload
-        FROM (SELECT DISTINCT event_type AS key, event_id // 64 AS pack FROM events) GROUP BY key""",
+        SELECT event_type AS key, COUNT(*) AS rows_landed, MAX(ts) + INTERVAL 1 DAY AS last_fetched_at,
+               MAX('events/' || event_id) AS last_source, COUNT(*) FILTER (WHERE LENGTH(props) > 0) AS with_payload
+        FROM events GROUP BY event_type""",
     "land_new_by_id": """
         SELECT doc_id, source, lang, n_chars FROM documents
         WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
