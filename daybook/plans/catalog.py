@@ -77,8 +77,8 @@ def asset_index(objects: DataFrame, columns: DataFrame, metrics: DataFrame, node
         nodes.where(F.col("type").isin(*OUTSIDE_KINDS))
         .join(objects.select(F.col("id").alias("node")), "node", "left_anti")
         .select(F.col("node").alias("id"), F.coalesce("label", "node").alias("name"), shown[F.col("type")].alias("kind"),
-                F.lit(OUTSIDE_LAYER).alias("layer"), "description", F.lit("").alias("details"), none.cast(_COLUMNS).alias("columns"), "built_by",
-                none.cast("array<string>").alias("metrics"))
+                F.lit(OUTSIDE_LAYER).alias("layer"), "description", F.lit("").alias("details"),
+                none.cast(_COLUMNS).alias("columns"), "built_by", none.cast("array<string>").alias("metrics"))
         .join(up, "id", "left").join(down, "id", "left"))
     return shaped(tables).unionByName(shaped(metric_assets)).unionByName(shaped(outside))
 

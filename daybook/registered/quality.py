@@ -122,7 +122,8 @@ _SUITE_SQL = [
     _rows("customer", "raw", "customer"), _nulls("customer", "raw", "customer", ["c_custkey"]),
     _record("customer", "raw", "customer", "non_negative", "c_acctbal < 0", "c_acctbal is negative", "c_acctbal never negative"),
     _rows(_E, "clean", "events"), _nulls(_E, "clean", "events", ["event_id", "ts", "value"]),
-    _record(_E, "clean", "events", "plausible_temperature", "value < -90 OR value > 60", "value outside [-90, 60]", "value within [-90, 60]"),
+    _record(_E, "clean", "events", "plausible_temperature", "value < -90 OR value > 60",
+            "value outside [-90, 60]", "value within [-90, 60]"),
     _record(_E, "clean", "events", "non_negative", "value < 0", "value is negative", "value never negative"),
     _record(_E, "clean", "events", "value_range", "k < 0 OR k > 99", "k outside [0, 99]", "k within [0, 99]"),
 ]
@@ -168,7 +169,8 @@ ORACLES = {
                CASE WHEN names IS NULL THEN 'pass' ELSE 'fail' END AS status,
                CASE WHEN names IS NULL THEN 'at least {MIN_ORDERS} rows for every group'
                     ELSE 'fewer than {MIN_ORDERS} rows for ' || names END AS detail FROM short""",
-    "dq_freshness": " UNION ALL ".join([_fresh("clean", "events", "ts", h) for h in (30, 10, 5)] + [_fresh("raw", "orders", "o_orderdate", 72)]),
+    "dq_freshness": " UNION ALL ".join(
+        [_fresh("clean", "events", "ts", h) for h in (30, 10, 5)] + [_fresh("raw", "orders", "o_orderdate", 72)]),
     "dq_documented": f"""
         WITH {_METADATA} SELECT object, COUNT(*) AS n_entries, COUNT(*) FILTER (WHERE description = '') AS n_undocumented,
                CASE WHEN COUNT(*) FILTER (WHERE description = '') > 0 THEN 'fail' ELSE 'pass' END AS status

@@ -37,8 +37,8 @@ def test_sections(spark):
 
 
 def test_every_kind_of_line_end(spark):
-    text = f"x\r\n.A...{LONG} tail\x85.B...{LONG}\r&&\n"
-    assert _split(spark, text) == [(0, "A", LONG + " tail"), (1, "B", LONG)]
+    text = f"x\r\n.A...{LONG} tail\x85.B...{LONG}\r&&\n.C...{LONG}\u2028\u2003more\u00a0of\u3000it"
+    assert _split(spark, text) == [(0, "A", LONG + " tail"), (1, "B", LONG), (2, "C", LONG + " more of it")]
 
 
 def test_text_without_sections(spark):
