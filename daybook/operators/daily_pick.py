@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions.dates import run_date
 from daybook.operators.dedupe import latest_wins
+from daybook.operators.joins import unmatched
 
 
 def daily_pick(docs: DataFrame, issued_at: str, doc_id: str, as_of: str, cutoff_hour: int = 5) -> DataFrame:
@@ -40,5 +41,4 @@ def incremental_todo(picks: DataFrame, done: DataFrame) -> DataFrame:
 
 def replace_documents(stored: DataFrame, fresh: DataFrame, doc_id: str, columns: Sequence[str]) -> DataFrame:
     """Stored rows of other documents plus the fresh rows: leftovers of a failed attempt disappear."""
-    kept = stored.join(fresh.select(doc_id).distinct(), doc_id, "left_anti")
-    return kept.select(*columns).unionByName(fresh.select(*columns))
+    return unmatched(stored, fresh, [doc_id]).select(*columns).unionByName(fresh.select(*columns))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.text import all_matches
+from daybook.operators.joins import lookup, matching, unmatched
 
 # Fixed value: how a table is named in SQL and code.
 TABLE_REFERENCE = r"\b(?:bronze|silver|gold)\.[a-z_]+\b"
@@ -23,14 +24,13 @@ def declared_edges(nodes: DataFrame) -> DataFrame:
 def lineage_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Edges with the type of both ends; an edge from an unknown node keeps a NULL type.
 
-    Nodes shrink to one row each first, so that copies cannot multiply edges. The join
-    on the upstream end may meet a hot node: adaptive execution splits that partition, as
-    there is one row to repeat for it.
+    Nodes shrink to one row each first, so that copies cannot multiply edges; the edges of
+    a hot node are split.
     """
     unique = nodes.groupBy("node").agg(F.min("type").alias("type"))
     up = unique.select(F.col("node").alias("upstream"), F.col("type").alias("upstream_type"))
     down = unique.select(F.col("node").alias("downstream"), F.col("type").alias("downstream_type"))
-    typed = edges.join(up, "upstream", "left").join(down, "downstream", "left")
+    typed = lookup(lookup(edges, up, ["upstream"]), down, ["downstream"])
     return typed.select("upstream", "downstream", "upstream_type", "downstream_type", "built_by")
 
 
@@ -55,9 +55,8 @@ def neighbour_counts(neighbour_rows: DataFrame) -> DataFrame:
 
 def unknown_upstream(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Edges that name an upstream which is not a node."""
-    return edges.join(nodes.select(F.col("node").alias("upstream")).distinct(), "upstream", "left_anti").select(
-        "upstream", "downstream"
-    )
+    known = nodes.select(F.col("node").alias("upstream"))
+    return unmatched(edges, known, ["upstream"]).select("upstream", "downstream")
 
 
 def two_way_difference(declared: DataFrame, actual: DataFrame, name: str = "name") -> DataFrame:
@@ -84,8 +83,8 @@ def undeclared_references(
     A mention that is no real name is a comment, not a read.
     """
     found = references(texts, pattern, group)
-    read = found.join(real.select("name").distinct(), "name", "left_semi")
-    return read.join(allowed.select("path", "name").distinct(), ["path", "name"], "left_anti").select("path", "name")
+    read = matching(found, real, ["name"])
+    return unmatched(read, allowed, ["path", "name"]).select("path", "name")
 
 
 def lineage_problems(nodes: DataFrame, objects: DataFrame, texts: DataFrame) -> DataFrame:

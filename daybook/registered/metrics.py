@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from daybook.operators.dedupe import first_wins
+from daybook.operators.joins import lookup
 from daybook.plans.metrics import Metric, described, evaluate, metric_definitions
 from daybook.registered.base import EVENTS_DAILY, events_daily, table
 from daybook.registered.forecasting import AS_OF, FORECASTS, evaluation
@@ -39,7 +40,7 @@ def _one(i: int):
 def _labelled(spark, d):
     """Share of long documents that people marked as good, per source."""
     docs = first_wins(table(spark, d, "documents").select("doc_id", "source", "n_chars"), ["doc_id"], ["source", "n_chars"])
-    scored = table(spark, d, "labels").join(docs, "doc_id").select(
+    scored = lookup(table(spark, d, "labels"), docs, ["doc_id"], "inner").select(
         F.col("source").alias("key"), (F.col("quality") == 1).alias("good"), "n_chars", "toxic")
     rate = Metric("good_rate", "Good share", "Share of good documents.", "labels",
                   "ROUND(AVG(CAST(good AS INTEGER)), 2)", "n_chars > 500 AND toxic = 0", "share")

@@ -7,14 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from daybook.operators.joins import unmatched
+
 
 def scoped_replace(old: DataFrame, new: DataFrame, scope: Sequence[str]) -> DataFrame:
     """The old rows outside every scope value that the new rows touch, plus the new rows.
 
-    The scope values are made distinct first, so the join compares against one row per value.
+    The scope values shrink to one row each, and old rows of a hot value are split.
     """
-    touched = new.select(*scope).distinct()
-    return old.join(touched, list(scope), "left_anti").select(*new.columns).unionByName(new)
+    return unmatched(old, new, scope).select(*new.columns).unionByName(new)
 
 
 def insert_if_absent(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -23,6 +24,8 @@ def insert_if_absent(existing: DataFrame, incoming: DataFrame, keys: Sequence[st
 
 
 def absent(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Incoming rows, unique per key, whose key is not there yet: both sides meet in the
+    partitioning that made them unique."""
     return incoming.join(existing.select(*keys).distinct(), list(keys), "left_anti").select(*incoming.columns)
 
 

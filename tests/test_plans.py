@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from daybook.operators.dedupe import latest_wins
+from daybook.operators.joins import lookup, matching, unmatched
 from daybook.plans.forecast import walk_forward
 
 QUERIES = entry.queries()
@@ -58,3 +59,38 @@ def test_a_hot_key_reaches_the_exchange_once_per_task(spark):
     assert [tuple(r) for r in out] == [(0, 59_997)]
     text = plan(latest_wins(rows, ["k"], "version"))
     assert "partial_max_by" in text and text.index("Exchange") < text.index("partial_max_by")
+
+
+@pytest.fixture
+def small_skew_limits(spark):
+    """Limits at which the test's partitions count as large."""
+    limits = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in limits}
+    for k, v in limits.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("join,kept", [(lookup, 300_000), (matching, 200_000), (unmatched, 100_000)])
+def test_hot_rows_are_split(spark, small_skew_limits, join, kept):
+    i = F.col("id")
+    large = spark.range(0, 300_000, 1, 8).select(F.when(i % 3 == 0, 2).otherwise(i).alias("k"), F.xxhash64("id").alias("v"))
+    small = spark.range(0, 300_000, 2, 8).select(i.alias("k"))
+    side = small.withColumn("known", F.lit(True)) if join is lookup else small
+    out = join(large, side, ["k"]).agg(F.count("*").alias("n"), F.sum(F.hash("k", "v")))
+    assert out.collect()[0].n == kept
+    assert "skew=true" in plan(out)
+
+
+def test_null_keys_match_nothing(spark):
+    large = spark.createDataFrame([(None,), (1,), (2,)], "k int")
+    keys = spark.createDataFrame([(None,), (1,)], "k int")
+    assert [r.k for r in matching(large, keys, ["k"]).collect()] == [1]
+    assert {r.k for r in unmatched(large, keys, ["k"]).collect()} == {None, 2}
