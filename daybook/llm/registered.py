@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import exact_dedup, line_windows, preference, substring_dedup
+from daybook.llm import decontaminate, exact_dedup, line_windows, preference, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,11 +42,18 @@ def op5_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", _sha("kept_text").alias("kept_sha256"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 QUERIES = {
     "op1_preference": op1_preference,
     "op2_repeated_lines": op2_repeated_lines,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_line_windows": op5_line_windows,
+    "op7_decontamination": op7_decontamination,
 }
 
 _NORMAL = r"lower(trim(regexp_replace({}, '[\x20\x09-\x0D]+', ' ', 'g'), ' '))"
