@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import decontaminate, exact_dedup, line_windows, preference, substring_dedup
+from daybook.llm import decontaminate, exact_dedup, language_id, line_windows, preference, substring_dedup, toxicity
+from daybook.llm.rows import held_out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +34,13 @@ def op2_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_removed", _spans(F.col("removed")).alias("removed"), _sha("kept_text").alias("kept_sha256"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.train(docs, labels, teaches=~held_out(F.col("doc_id")))
+    return toxicity.score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -48,12 +56,21 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs.select("doc_id", "text", "lang"), teaches=~held_out(F.col("doc_id")))
+    found = language_id.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 QUERIES = {
     "op1_preference": op1_preference,
     "op2_repeated_lines": op2_repeated_lines,
+    "op3_toxicity": op3_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_line_windows": op5_line_windows,
     "op7_decontamination": op7_decontamination,
+    "op8_language": op8_language,
 }
 
 _NORMAL = r"lower(trim(regexp_replace({}, '[\x20\x09-\x0D]+', ' ', 'g'), ' '))"

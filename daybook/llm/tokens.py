@@ -102,7 +102,8 @@ class Words:
         last[cut - 1] |= inside[cut]
         self.start = np.flatnonzero(first)
         self.end = np.flatnonzero(last) + 1
-        self.hash = span_hashes(prefix_hashes(_OF_BYTE[part]), self.start, self.end)
+        self.prefix = prefix_hashes(_OF_BYTE[part])
+        self.hash = span_hashes(self.prefix, self.start, self.end)
         #: words of text t are first_word[t] to first_word[t + 1]
         self.first_word = np.searchsorted(self.start, self.offsets, side="left")
         self.counts = np.diff(self.first_word)
