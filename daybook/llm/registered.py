@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import decontaminate, exact_dedup, language_id, line_windows, preference, substring_dedup, toxicity
+import public_tokenizers
+
+from daybook.llm import decontaminate, exact_dedup, language_id, line_windows, packing, preference, substring_dedup, toxicity
 from daybook.llm.rows import held_out
 
 
@@ -63,6 +65,18 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """Pieces of the documents with the digest of their ids."""
+    path = public_tokenizers.path
+    pieces = packing.pack(docs.select("doc_id", "text"), path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "loss_tokens")
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_preference": op1_preference,
     "op2_repeated_lines": op2_repeated_lines,
@@ -71,6 +85,7 @@ QUERIES = {
     "op5_line_windows": op5_line_windows,
     "op7_decontamination": op7_decontamination,
     "op8_language": op8_language,
+    "op10_packing": op10_packing,
 }
 
 _NORMAL = r"lower(trim(regexp_replace({}, '[\x20\x09-\x0D]+', ' ', 'g'), ' '))"
