@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from daybook.llm import decontaminate, exact_dedup, language_id, line_windows, packing, preference, substring_dedup, toxicity
+from daybook.llm import dart_minhash, decontaminate, exact_dedup, language_id, line_windows, packing, preference, substring_dedup, toxicity
 from daybook.llm.rows import held_out
 
 
@@ -52,6 +52,10 @@ def op5_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", _sha("kept_text").alias("kept_sha256"))
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.near_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -83,6 +87,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_line_windows": op5_line_windows,
+    "op6_near_dedup": op6_near_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_language": op8_language,
     "op10_packing": op10_packing,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -9,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daybook.session import ensure_checkpoint_dir
+
 #: Runs of ASCII white space, as (?-u)\s of most engines has it, that are not one space already.
 _SPACE_TO_MEND = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
 
@@ -67,3 +70,16 @@ def with_arrow_columns(
             yield pa.RecordBatch.from_arrays([b.column(i) for i in keep_at] + list(arrays), names=names)
 
     return df.mapInArrow(run, schema)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet in the checkpoint folder that all executors share, and read from there.
+
+    Like a checkpoint it cuts the lineage and outlives executors; it is smaller, and later steps read only the
+    columns that they need. The files may go once the results that came from them are written.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
