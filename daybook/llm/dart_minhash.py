@@ -199,13 +199,17 @@ def drop_near_copies(
     df: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY, weights: str = "distinct",
 ) -> DataFrame:
     """The rows of ``df`` that stay, one per class, with all their columns."""
-    rows = _roots(df, text, doc_id, similarity, weights)
-    order = id_order(F.col("doc_id"), F.col("key"))
-    winners = rows.groupBy("root").agg(F.min(order).alias("first")).select(
-        F.struct(F.col("first.no_id").alias("n"), F.coalesce("first.id", F.lit(0)).alias("i"), F.col("first.key").alias("k")).alias("who"))
+    rows = _roots(df, text, doc_id, similarity, weights).groupBy("root", "key", "doc_id").agg(F.count("*").alias("copies"))
+    order = id_order(F.col("doc_id"), F.col("key"), F.col("copies"))
+    first = rows.groupBy("root").agg(F.min(order).alias("first"))
+    winners = stored(first.select(F.struct(
+        F.col("first.no_id").alias("n"), F.coalesce("first.id", F.lit(0)).alias("i"), F.col("first.key").alias("k")).alias("who"),
+        F.col("first.copies").alias("copies")))
     body = F.coalesce(F.col(text), F.lit(""))
     who = F.struct(F.col(doc_id).isNull().alias("n"), F.coalesce(F.col(doc_id), F.lit(0)).alias("i"),
                    F.struct(*hash_pair("k1", "k2", body)).alias("k"))
-    kept = matching(df.select(F.struct("*").alias("row"), who.alias("who")), winners, ["who"])
+    large = df.select(F.struct("*").alias("row"), who.alias("who"))
+    single = lookup(large, winners.where("copies = 1").select("who"), ["who"], "left_semi").select("row.*")
     # rows that agree in id and text: one of them
-    return kept.groupBy("who").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
+    several = lookup(large, winners.where("copies > 1").select("who"), ["who"], "left_semi")
+    return single.unionByName(several.groupBy("who").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*"))

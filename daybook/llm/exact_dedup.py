@@ -34,37 +34,37 @@ def text_digest(text: Column) -> Column:
     return F.sha2(one_spaced(F.coalesce(text, F.lit(""))).cast("binary"), 256)
 
 
-def filter_bits(rows: int) -> int:
-    return min(MAX_BITS, max(MIN_BITS, 1 << math.ceil(math.log2(max(1, rows) * BITS_PER_ROW))))
+def filter_bits(rows: int, per_row: int = BITS_PER_ROW) -> int:
+    return min(MAX_BITS, max(MIN_BITS, 1 << math.ceil(math.log2(max(1, rows) * per_row))))
 
 
 def _slot(digest: Column, number: int, bits: int) -> Column:
     return F.pmod(F.xxhash64(digest, F.lit(number)), F.lit(bits)) + 1
 
 
-def repeated_slots(digests: DataFrame, bits: int, digest: str = "sha") -> DataFrame:
+def repeated_slots(digests: DataFrame, bits: int, digest: str = "sha", slots: int = SLOTS) -> DataFrame:
     """Pass one: bitmaps of the slots that were hit by at least two rows, one row per 32,768 slots."""
-    hits = digests.select(F.explode(F.array(*[_slot(F.col(digest), i, bits) for i in range(SLOTS)])).alias("slot"))
+    hits = digests.select(F.explode(F.array(*[_slot(F.col(digest), i, bits) for i in range(slots)])).alias("slot"))
     twice = hits.groupBy("slot").agg(F.count("*").alias("n")).where("n > 1")
     return twice.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
 
 
-def with_possible(df: DataFrame, slots: DataFrame, bits: int, digest: str = "sha") -> DataFrame:
+def with_possible(df: DataFrame, repeated: DataFrame, bits: int, digest: str = "sha", slots: int = SLOTS) -> DataFrame:
     """Pass two: adds ``possible``, false for rows whose digest certainly occurs once."""
     out = df
-    for i in range(SLOTS):
+    for i in range(slots):
         slot = _slot(F.col(digest), i, bits)
-        side = F.broadcast(slots.select(F.col("bucket").alias(f"_bucket{i}"), F.col("bits").alias(f"_bits{i}")))
+        side = F.broadcast(repeated.select(F.col("bucket").alias(f"_bucket{i}"), F.col("bits").alias(f"_bits{i}")))
         at = F.bitmap_bit_position(slot).cast("int")
         byte = F.conv(F.hex(F.substring(F.col(f"_bits{i}"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
         hit = F.call_function("shiftright", byte, at % 8).bitwiseAND(1) == 1
         out = out.join(side, F.bitmap_bucket_number(slot) == F.col(f"_bucket{i}"), "left").withColumn(
             f"_hit{i}", F.coalesce(hit, F.lit(False))).drop(f"_bucket{i}", f"_bits{i}")
     both = F.lit(True)
-    for i in range(SLOTS):
+    for i in range(slots):
         both = both & F.col(f"_hit{i}")
-    return out.withColumn("possible", both).drop(*[f"_hit{i}" for i in range(SLOTS)])
+    return out.withColumn("possible", both).drop(*[f"_hit{i}" for i in range(slots)])
 
 
 def mark_copies(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from daybook.llm import dart_minhash, decontaminate, exact_dedup, language_id, line_windows, packing, preference, substring_dedup, toxicity
+from daybook.llm import dart_minhash, decontaminate, exact_dedup, language_id, line_windows, packing, preference, run_length_index, substring_dedup, toxicity
 from daybook.llm.rows import held_out
 
 
@@ -69,6 +69,11 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op9_long_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = run_length_index.remove_long_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """Pieces of the documents with the digest of their ids."""
     path = public_tokenizers.path
@@ -90,6 +95,7 @@ QUERIES = {
     "op6_near_dedup": op6_near_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_language": op8_language,
+    "op9_long_repeats": op9_long_repeats,
     "op10_packing": op10_packing,
 }
 
