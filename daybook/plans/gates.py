@@ -17,6 +17,8 @@ from daybook.sources.tables import append, ensure_table
 # How old landed data and extractions may get, in hours.
 MAX_STALENESS_HOURS = 30
 MAX_EXTRACTION_LAG_HOURS = 72
+# Failures that an error names; all of them are in the log.
+SHOWN_FAILURES = 20
 
 
 @dataclass(frozen=True)
@@ -63,17 +65,16 @@ class RunLog:
         return self
 
     def record(self, checks: DataFrame) -> None:
-        """Append the records, then raise if one of them failed."""
-        rows = checks.select(
-            F.lit(self.run_id).alias("run_id"), F.lit(_now()).cast("timestamp_ntz").alias("checked_at"),
-            "step", "check_name", "target", "status", "detail",
-        )
-        # One row per check: the records come to the driver once and are not computed twice.
-        made = rows.collect()
-        append(self.spark.createDataFrame(made, DQ_RESULTS).coalesce(1), self.results)
-        failed = [f"{r.target}: {r.detail}" for r in made if r.status == "fail"]
-        if failed:
-            raise DataQualityError("; ".join(failed))
+        """Append the records from where they are made, then raise if one of them failed."""
+        at = F.lit(_now()).cast("timestamp_ntz")
+        rows = checks.select(F.lit(self.run_id).alias("run_id"), at.alias("checked_at"), "step", "check_name", "target", "status", "detail")
+        rows.write.insertInto(self.results)
+        own = self.spark.table(self.results).where((F.col("run_id") == self.run_id) & (F.col("checked_at") == at))
+        failed = own.where("status = 'fail'").select(F.concat_ws(": ", "target", "detail").alias("said"))
+        first = [r.said for r in failed.orderBy("said").limit(SHOWN_FAILURES + 1).collect()]
+        if first:
+            more = ["and others, see the log"] if len(first) > SHOWN_FAILURES else []
+            raise DataQualityError("; ".join(first[:SHOWN_FAILURES] + more))
 
     def __exit__(self, kind, error, trace) -> None:
         # Counting from the stored records covers everything that was appended before an error.

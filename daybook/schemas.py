@@ -12,7 +12,14 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
 _S, _D, _I, _B = T.StringType(), T.DoubleType(), T.IntegerType(), T.BooleanType()
 _TS, _DATE = T.TimestampNTZType(), T.DateType()
 
-RAW_PAYLOADS = _struct(("key", _S), ("fetched_at", _TS), ("source_url", _S), ("raw_json", _S))
+# A source that is fetched again has a new version, its fetch time. Landings are numbered, so that what came
+# after any of them can be read alone; landed_on and landing are the partitions.
+RAW_PAYLOADS = _struct(
+    ("key", _S), ("fetched_at", _TS), ("source_url", _S), ("raw_json", _S), ("landed_on", _DATE), ("landing", T.LongType()),
+)
+
+# How far the landings of a raw table have been merged into the tables behind it.
+MERGED = _struct(("target", _S), ("landing", T.LongType()), ("merged_at", _TS))
 
 RAW_DOCUMENTS = _struct(
     ("doc_id", _S), ("office", _S), ("issued_at", _TS), ("fetched_at", _TS), ("source_url", _S), ("raw_json", _S)
@@ -30,6 +37,7 @@ EXTRACTIONS = _struct(
     ("evidence_verified", _B), ("extraction_model", _S), ("extracted_at", _TS),
 )
 
+# The columns of the two log tables.
 PIPELINE_RUNS = _struct(
     ("run_id", _S), ("started_at", _TS), ("finished_at", _TS), ("status", _S), ("n_pass", _I), ("n_warn", _I),
     ("n_fail", _I), ("error", _S), ("triggered_by", _S),

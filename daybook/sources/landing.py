@@ -13,18 +13,19 @@ from daybook.sources.tables import absent
 
 def read_payload_files(spark: SparkSession, path: str, key: Column, since: str | None = None,
                        until: str | None = None) -> DataFrame:
-    """One row per landed file: key, source path and the unparsed text.
+    """One row per file: key, source path, the unparsed text and the time it was fetched, which is when it was written.
 
-    ``since`` and ``until`` bound the modification time, which is how a wider one-off
-    backfill and a daily run share this function.
+    ``since`` and ``until`` bound that time, which is how a wider one-off backfill and a
+    daily run share this function.
     """
     reader = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
     if since:
         reader = reader.option("modifiedAfter", since)
     if until:
         reader = reader.option("modifiedBefore", until)
-    files = reader.text(path).select("value", F.col("_metadata.file_path").alias("source_url"))
-    return files.select(key.alias("key"), "source_url", F.col("value").alias("raw_json"))
+    files = reader.text(path).select(
+        "value", F.col("_metadata.file_path").alias("source_url"), F.col("_metadata.file_modification_time").alias("written"))
+    return files.select(key.alias("key"), F.to_timestamp_ntz("written").alias("fetched_at"), "source_url", F.col("value").alias("raw_json"))
 
 
 def land_raw(payloads: DataFrame, key: str, source: str, raw: str, fetched_at: Column) -> DataFrame:
@@ -35,6 +36,12 @@ def land_raw(payloads: DataFrame, key: str, source: str, raw: str, fetched_at: C
     )
 
 
+def not_landed(landed: DataFrame, payloads: DataFrame) -> DataFrame:
+    """The payloads whose source has not landed in this version, one per source and version."""
+    once = first_wins(payloads, ["source_url", "fetched_at"], ["key", "raw_json"])
+    return absent(landed, once, ["source_url", "fetched_at"]).select(*payloads.columns)
+
+
 def land_new_by_id(landed: DataFrame, incoming: DataFrame, id_column: str, order: Sequence[str]) -> DataFrame:
     """Incoming rows whose id has not landed, one per id. Copies shrink to one row before the join."""
     unique = first_wins(incoming, [id_column], order)
