@@ -9,15 +9,16 @@ exchange after the rollup.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions.dates import season
 from daybook.functions.scoring import clip_at_zero, rounded
 from daybook.operators import regression
+from daybook.operators.dedupe import first_wins
 from daybook.operators.features import add_season, by_day
-from daybook.sources.tables import insert_if_absent
 
 MODEL_TYPE = "linear_regression_v1"
 MIN_TRAINING_ROWS = 10
@@ -43,7 +44,7 @@ def _long(history: DataFrame, metrics: Sequence[str]) -> DataFrame:
 FEATURES = ("lag_1", "doy_sin", "doy_cos")
 
 
-def _wide(points: DataFrame, metrics: Sequence[str], non_negative: Sequence[str], is_backtest: bool,
+def _wide(points: DataFrame, metrics: Sequence[str], non_negative: Sequence[str], is_backtest: bool | Column,
           run: Sequence[str] = ()) -> DataFrame:
     """Pivot predictions to one row per key and day, only where every metric could be predicted."""
     value = F.when(F.col("metric").isin(*non_negative), clip_at_zero(F.col("yhat"))).otherwise(F.col("yhat"))
@@ -55,7 +56,7 @@ def _wide(points: DataFrame, metrics: Sequence[str], non_negative: Sequence[str]
     )
     return wide.where(F.col("_done") == len(metrics)).select(
         "key", "target_date", *[f"predicted_{m}" for m in metrics],
-        F.lit(MODEL_TYPE).alias("model_type"), "training_rows", F.lit(is_backtest).alias("is_backtest"),
+        F.lit(MODEL_TYPE).alias("model_type"), "training_rows", (F.lit(is_backtest) if isinstance(is_backtest, bool) else is_backtest).alias("is_backtest"),
     )
 
 
@@ -106,27 +107,41 @@ def skipped_keys(history: DataFrame, forecasts: DataFrame) -> DataFrame:
     return missing.select("key", "days", F.lit("warn").alias("status"), detail.alias("detail"))
 
 
-def live_forecasts(
-    daily: DataFrame, live_days: Sequence[str], metrics: Sequence[str], non_negative: Sequence[str] = ()
+def stored_runs(
+    daily: DataFrame, live_days: Sequence[str], as_of: str, metrics: Sequence[str], non_negative: Sequence[str] = ()
 ) -> DataFrame:
-    """The forecasts that runs on each of ``live_days`` make for the day after, in one plan.
+    """What the forecast table holds after runs on ``live_days`` and a backtest up to ``as_of``.
 
-    A lag looks back only, so cutting the history at a day does not change the rows
-    before it: each row joins the fit of every run that already knew it.
+    One pass over the rows of a key makes both kinds: the fit of a run is that of all rows up to the last
+    one it knew, the fit of a backtest point that of all rows before its own. A day that a run predicted
+    gets no backtest point. Everything after the rollup stays in the partitioning by key.
     """
-    rows = _long(settled_history(daily, max(live_days), metrics), metrics)
-    runs = F.explode(F.array(*[F.lit(day).cast("date") for day in live_days])).alias("run")
-    known = rows.select("*", runs).where(F.col("date") <= F.col("run"))
-    made = _next_day(_fit(known, ["key", "metric", "run"]))
-    return _wide(made, metrics, non_negative, is_backtest=False, run=["run"]).dropDuplicates(["key", "target_date"])
-
-
-def add_backtest(
-    forecasts: DataFrame, daily: DataFrame, as_of: str, metrics: Sequence[str], non_negative: Sequence[str] = ()
-) -> DataFrame:
-    """The stored forecasts, filled up with backtest points for the days that have none."""
-    backtest = walk_forward(settled_history(daily, as_of, metrics), metrics, non_negative)
-    return insert_if_absent(forecasts, backtest, ["key", "target_date"])
+    days = by_day("key", "metric")
+    rows = _long(settled_history(daily, max(as_of, *live_days), metrics), metrics)
+    frames = {"before": days.rowsBetween(Window.unboundedPreceding, -1), "upto": days.rowsBetween(Window.unboundedPreceding, 0)}
+    fits = {}
+    for frame, over in frames.items():
+        fits |= {f"{frame}_{name}": c for name, c in regression.moments("y", FEATURES, over=over).items()}
+    names = list(regression.moments("y", FEATURES))
+    rows = rows.withColumns(fits | {"next_date": F.lead("date").over(days)})
+
+    def point(frame: str, is_backtest: bool, target: Column, x: Sequence[Column]) -> Column:
+        values = {"is_backtest": F.lit(is_backtest), "target_date": target, **dict(zip(("x_lag", "x_sin", "x_cos"), x))}
+        return F.struct(*[c.alias(n) for n, c in values.items()], *[F.col(f"{frame}_{n}").alias(n) for n in names])
+
+    knew = [(F.col("date") <= F.lit(d).cast("date")) & (F.col("next_date").isNull() | (F.col("next_date") > F.lit(d).cast("date")))
+            for d in live_days]
+    enough = lambda frame: F.col(f"{frame}_n") >= MIN_TRAINING_ROWS
+    tomorrow = F.date_add("date", 1)
+    live = F.when(reduce(Column.__or__, knew) & enough("upto"), point("upto", False, tomorrow, (F.col("y"), *season(tomorrow))))
+    past = F.when((F.col("date") <= F.lit(as_of).cast("date")) & enough("before"),
+                  point("before", True, F.col("date"), [F.col(c) for c in FEATURES]))
+    points = rows.select("key", "metric", F.explode(F.array(live, past)).alias("p")).where("p IS NOT NULL")
+    points = points.select("key", "metric", "p.*")
+    points = points.withColumns(regression.coefficients())
+    points = points.withColumn("yhat", regression.predicted((F.col("x_lag"), F.col("x_sin"), F.col("x_cos"))))
+    made = _wide(points, metrics, non_negative, F.col("is_backtest"), run=["is_backtest"])
+    return first_wins(made, ["key", "target_date"], ["is_backtest"]).select(*made.columns)
 
 
 def forecast_evaluation(forecasts: DataFrame, daily: DataFrame, as_of: str, metrics: Sequence[str]) -> DataFrame:

@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 from daybook.operators.dedupe import prefer_live
 from daybook.plans import compare, reports
 from daybook.plans.forecast import (
-    add_backtest, fit_per_key, forecast_evaluation, live_forecasts, next_day_forecast, settled_history, walk_forward,
+    fit_per_key, forecast_evaluation, next_day_forecast, settled_history, stored_runs, walk_forward,
 )
 from daybook.registered.base import (
     EVENT_METRICS, EVENT_NON_NEGATIVE, EVENTS_DAILY, LINE_METRICS, LINE_NON_NEGATIVE, LINES_DAILY,
     events_daily, lines_daily,
 )
-from daybook.session import materialise
 
 LIVE_DAYS = ["2024-01-20", "2024-01-25"]
 AS_OF = "2024-01-28"
@@ -21,10 +20,9 @@ LINES_AS_OF = "2001-06-30"
 
 
 def stored_forecasts(spark, d):
-    """The daily rollup and the live forecasts, each stored once because several plans read them."""
-    daily = materialise(events_daily(spark, d))
-    live = materialise(live_forecasts(daily, LIVE_DAYS, EVENT_METRICS, EVENT_NON_NEGATIVE))
-    return daily, add_backtest(live, daily, AS_OF, EVENT_METRICS, EVENT_NON_NEGATIVE)
+    """The daily rollup, and the forecasts that the table would hold."""
+    daily = events_daily(spark, d)
+    return daily, stored_runs(daily, LIVE_DAYS, AS_OF, EVENT_METRICS, EVENT_NON_NEGATIVE)
 
 
 def evaluation(spark, d):
