@@ -24,6 +24,10 @@ STOPWORDS = (
 )
 
 
+# Fixed value: what a word of a search is, in lower-case text.
+TOKEN = "[a-z0-9_]+"
+
+
 def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE_CHARACTERS))
 
@@ -62,10 +66,15 @@ def all_matches(c: Column, pattern: str, group: int = 0) -> Column:
 
 def terms(c: Column) -> Column:
     """Lower-case word tokens without stopwords, repeats kept."""
-    tokens = F.regexp_extract_all(F.lower(c), F.lit("([a-z0-9_]+)"), F.lit(1))
+    tokens = F.regexp_extract_all(F.lower(c), F.lit(f"({TOKEN})"), F.lit(1))
     return F.filter(tokens, lambda t: ~t.isin(*STOPWORDS))
 
 
+def terms_of(text: str) -> list[str]:
+    """The same for one string on the driver, such as a query."""
+    return list(filter(lambda word: word not in STOPWORDS, re.compile(TOKEN).findall(text.lower())))
+
+
 def any_of(words: list[str]) -> str:
     return "|".join(re.escape(w) for w in words)
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.dates import run_date
-from daybook.operators.dedupe import latest_wins
+from daybook.operators.dedupe import first_wins, latest_wins
 from daybook.operators.joins import unmatched
 
 
@@ -17,9 +17,9 @@ def daily_pick(docs: DataFrame, issued_at: str, doc_id: str, as_of: str, cutoff_
 
     Shifting the timestamp by the cut-off turns the window into a day bucket, so this
     is a map-side combined aggregate instead of a range join. Only ids and timestamps are
-    aggregated; the picks, one narrow row per calendar day and so small enough to
-    broadcast by construction, then fetch their documents without moving the others.
-    The first date of the series has no full window and is never picked.
+    aggregated; the picks, one narrow row per calendar day, then fetch their documents in a join
+    that Spark plans from their measured size. Of rows that share id and time the first in the
+    order of the other columns counts. The first date of the series has no full window and is never picked.
     """
     cutoff = F.expr(f"INTERVAL {int(cutoff_hour)} HOURS")
     first_day = docs.select(F.min(F.to_date(issued_at)).cast("timestamp_ntz")).scalar()
@@ -29,8 +29,8 @@ def daily_pick(docs: DataFrame, issued_at: str, doc_id: str, as_of: str, cutoff_
     in_range = known.where(F.col(issued_at) >= first_day + cutoff)
     bucketed = in_range.select(run_date(F.col(issued_at), cutoff_hour).alias("run_date"), issued_at, doc_id)
     picks = latest_wins(bucketed, ["run_date"], issued_at, [doc_id])
-    found = known.join(F.broadcast(picks), [issued_at, doc_id])
-    return found.select("run_date", *docs.columns).dropDuplicates(["run_date"])
+    found = known.join(picks, [issued_at, doc_id]).select("run_date", *docs.columns)
+    return first_wins(found, ["run_date"], docs.columns)
 
 
 def incremental_todo(picks: DataFrame, done: DataFrame) -> DataFrame:

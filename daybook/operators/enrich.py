@@ -12,12 +12,14 @@ from pyspark.sql import types as T
 
 
 def enrich(
-    df: DataFrame, text: str, keep: Sequence[str], fn: Callable[[str], object], result_type: T.DataType,
-    setup: Callable[[], Callable[[str], object]] | None = None, tasks: int | None = None,
+    df: DataFrame, text: str | Sequence[str], keep: Sequence[str], fn: Callable[..., object] | None, result_type: T.DataType,
+    setup: Callable[[], Callable[..., object]] | None = None, tasks: int | None = None, whole_batch: bool = False,
 ) -> DataFrame:
     """Add ``result`` and ``error`` columns by calling ``fn`` on each text, in Arrow batches.
 
-    A row whose call fails keeps its error and a NULL result, so one bad document
+    With several columns in ``text``, ``fn`` gets their values as arguments. With ``whole_batch`` it gets one
+    list per column for all rows of a batch and returns a list of results; if that call fails, every row of
+    the batch keeps the error. A row whose call fails keeps its error and a NULL result, so one bad document
     neither stops the run nor gets lost: the next run sees it as still to do.
     ``setup``, when given, builds ``fn`` once per task, e.g. to open a client. ``tasks``
     spreads few rows with slow calls over that many tasks.
@@ -26,23 +28,32 @@ def enrich(
         [df.schema[c] for c in keep]
         + [T.StructField("result", result_type), T.StructField("error", T.StringType())]
     )
+    arguments = [text] if isinstance(text, str) else list(text)
 
-    def attempt(call: Callable[[str], object], value: str) -> tuple[object, str | None]:
+    def attempt(call: Callable[..., object], values: Sequence[object]) -> tuple[object, str | None]:
         try:
-            return call(value), None
-        except Exception as e:  # the failure belongs to the row
-            return None, f"{type(e).__name__}: {str(e)[:120]}"
+            return call(*values), None
+        except Exception as e:  # the failure belongs to the row, or to the batch that was asked for
+            return None, f"{type(e).__name__}: {e}"
+
+    def outcomes(call: Callable[..., object], batch: pd.DataFrame) -> list[tuple[object, str | None]]:
+        if not whole_batch:
+            return [attempt(call, values) for values in zip(*[batch[a] for a in arguments])]
+        results, error = attempt(call, [batch[a].tolist() for a in arguments])
+        if error is None and len(results) != len(batch):
+            error = f"ValueError: {len(results)} results for {len(batch)} texts"
+        return [(None, error)] * len(batch) if error else [(r, None) for r in results]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         call = setup() if setup else fn
         for batch in batches:
-            outcome = [attempt(call, v) for v in batch[text]]
+            made = outcomes(call, batch)
             out = batch[list(keep)].copy()
-            out["result"] = pd.Series([r for r, _ in outcome], index=batch.index, dtype=object)
-            out["error"] = pd.Series([e for _, e in outcome], index=batch.index, dtype=object)
+            out["result"] = pd.Series([r for r, _ in made], index=batch.index, dtype=object)
+            out["error"] = pd.Series([e for _, e in made], index=batch.index, dtype=object)
             yield out
 
-    rows = df.select(*dict.fromkeys([*keep, text]))
+    rows = df.select(*dict.fromkeys([*keep, *arguments]))
     return (rows.repartition(tasks) if tasks else rows).mapInPandas(run, schema)
 
 
@@ -50,12 +61,12 @@ def succeeded(enriched: DataFrame) -> DataFrame:
     return enriched.where(F.col("error").isNull()).drop("error")
 
 
-def failures(enriched: DataFrame, doc_id: str) -> DataFrame:
-    """Failed rows as warnings for the run log."""
-    detail = F.concat(F.col(doc_id).cast("string"), F.lit(" skipped, retried next run ("), "error", F.lit(")"))
+def failures(enriched: DataFrame, doc_id: str, step: str, target: str) -> DataFrame:
+    """Failed rows as warnings in the shape of check records."""
+    detail = F.concat(F.lit("left open for the next run: "), F.col(doc_id).cast("string"), F.lit(", "), "error")
     return enriched.where(F.col("error").isNotNull()).select(
-        doc_id, F.lit("warn").alias("status"), detail.alias("detail")
-    )
+        F.lit(step).alias("step"), F.lit("enriched").alias("check_name"), F.lit(target).alias("target"),
+        F.lit("warn").alias("status"), detail.alias("detail"))
 
 
 @dataclass(frozen=True)

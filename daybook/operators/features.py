@@ -41,8 +41,10 @@ def roll7_features(daily: DataFrame, metrics: Sequence[str]) -> DataFrame:
 
 
 def one_hot(df: DataFrame, column: str, values: Sequence[str], prefix: str) -> DataFrame:
-    """An indicator column per listed value."""
+    """An indicator column per listed value. A value that is not listed stops the query; NULL is all zeros."""
+    unlisted = F.raise_error(F.concat(F.lit(f"{column} has an unlisted value: "), F.col(column).cast("string")))
+    known = F.col(column).isNull() | F.col(column).isin(*values)
     flags: dict[str, Column] = {
-        f"{prefix}_{v}": F.when(F.col(column) == v, 1).otherwise(0) for v in values
+        f"{prefix}_{v}": F.when(known, F.coalesce((F.col(column) == v).cast("int"), F.lit(0))).otherwise(unlisted.cast("int")) for v in values
     }
     return df.withColumns(flags)

@@ -115,3 +115,13 @@ def lineage_problems(nodes: DataFrame, objects: DataFrame, texts: DataFrame) ->
         F.concat("path", F.lit(" references undeclared "), "name").alias("problem"))
 
     return unknown.unionByName(differing).unionByName(from_views).unionByName(from_code)
+
+
+def lineage_records(problems: DataFrame, step: str) -> DataFrame:
+    """The check records of :func:`lineage_problems`: one that failed per problem, or one that passed."""
+    found = F.col("problem").isNotNull()
+    none = problems.agg(F.count("*").alias("n")).where("n = 0").select(F.lit(None).cast("string").alias("problem"))
+    return problems.select("problem").unionByName(none).select(
+        F.lit(step).alias("step"), F.lit("lineage").alias("check_name"), F.lit("lineage").alias("target"),
+        F.when(found, "fail").otherwise("pass").alias("status"),
+        F.coalesce("problem", F.lit("lineage matches the warehouse, view SQL and code")).alias("detail"))

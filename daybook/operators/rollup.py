@@ -17,7 +17,7 @@ class Measure:
 
     ``scale`` states how many decimals the source has. Sums then run in whole units of
     the last decimal, so that the result does not depend on the order in which tasks add
-    up doubles; a total beyond the 64-bit range stops the query.
+    up doubles; a value with more decimals, or a total beyond the 64-bit range, stops the query.
     """
 
     name: str
@@ -30,7 +30,10 @@ class Measure:
         value = F.col(self.source)
         if self.how in ("sum", "avg") and self.scale is not None:
             units = 10.0**self.scale
-            total = F.sum(F.rint(value * units).cast("long")) / units
+            whole = F.rint(value * units)
+            off = F.abs(value * units - whole) > 1e-6 * F.greatest(F.lit(1.0), F.abs(whole) * 1e-9)
+            said = F.concat(F.lit(f"{self.source} has more than {self.scale} decimals: "), value.cast("string"))
+            total = F.sum(F.when(off, F.raise_error(said).cast("long")).otherwise(whole.cast("long"))) / units
             out = total if self.how == "sum" else total / F.count(value)
         else:
             out = {"min": F.min, "max": F.max, "avg": F.avg, "sum": F.sum}[self.how](value)

@@ -10,9 +10,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.operators.lineage import declared_edges, lineage_edges, lineage_problems
-from daybook.operators.quality import documented_record
+from daybook.operators.lineage import declared_edges, lineage_edges, lineage_problems, lineage_records
+from daybook.operators.quality import documented_records
 from daybook.plans.catalog import asset_index
+from daybook.plans.gates import RunLog
 from daybook.plans.metrics import Metric, metric_definitions
 from daybook.sources.tables import publish, publish_view
 
@@ -33,12 +34,14 @@ def describe(spark: SparkSession, table: str, description: str, columns: Mapping
 
 def publish_evaluation_view(spark: SparkSession, forecasts: str, daily: str, metrics: Sequence[str],
                             name: str = "gold.forecast_evaluation") -> None:
-    """Predicted next to actual as a view: always current, nothing stored."""
-    pairs = ", ".join(f"f.predicted_{m}, g.{m} AS actual_{m}" for m in metrics)
+    """What :func:`daybook.plans.forecast.forecast_evaluation` gives, as a view: always current, nothing stored."""
+    happened = ", ".join(f"`{m}` AS `actual_{m}`" for m in metrics)
+    shown = ", ".join(f"`{side}_{m}`" for m in metrics for side in ("predicted", "actual"))
     publish_view(spark, name, f"""
-        SELECT f.key, f.target_date, f.is_backtest, f.model_type, {pairs}
-        FROM {forecasts} f JOIN {daily} g ON f.key = g.key AND f.target_date = g.date
-        WHERE f.target_date < current_date()""")
+        SELECT key, target_date, is_backtest, model_type, {shown}
+        FROM (SELECT key, date AS target_date, {happened} FROM {daily})
+        INNER JOIN {forecasts} USING (key, target_date)
+        WHERE datediff(current_date(), target_date) > 0""")
 
 
 def publish_catalog(spark: SparkSession, metrics: Sequence[Metric], nodes: DataFrame) -> None:
@@ -80,21 +83,23 @@ def search_index(spark: SparkSession, nodes: DataFrame, layers: Sequence[str] =
 
 
 def coverage_record(spark: SparkSession, layer: str) -> DataFrame:
-    """Every table, view and column of the layer must have a description."""
+    """Every table, view and column of the layer must have a description; what lacks one is a record of its own."""
     objects = warehouse_objects(spark, [layer])
     whole = objects.select(F.col("id").alias("object"), F.lit("").alias("column"), "description")
     columns = warehouse_columns(spark, objects).select("object", F.col("name").alias("column"), "description")
-    return documented_record(whole.unionByName(columns), "catalog", layer)
+    return documented_records(whole.unionByName(columns), "catalog")
 
 
 def lineage_record(spark: SparkSession, nodes: DataFrame, texts: DataFrame, layers: Sequence[str] = LAYERS) -> DataFrame:
-    """The lineage check as one record; :func:`lineage_problems` lists every problem."""
+    """The lineage check: a failed record per problem, or one that passed."""
     objects = warehouse_objects(spark, layers).select(F.col("id").alias("name"), "view_sql")
-    problems = lineage_problems(nodes, objects, texts)
-    counted = problems.agg(F.count("*").alias("n"), F.min("problem").alias("first"))
-    bad = F.col("n") > 0
-    return counted.select(
-        F.lit("catalog").alias("step"), F.lit("lineage").alias("check_name"), F.lit("lineage").alias("target"),
-        F.when(bad, "fail").otherwise("pass").alias("status"),
-        F.when(bad, F.concat(F.col("n").cast("string"), F.lit(" problems, first: "), "first"))
-        .otherwise(F.lit("lineage matches the warehouse, view SQL and code")).alias("detail"))
+    return lineage_records(lineage_problems(nodes, objects, texts), "catalog")
+
+
+def run(spark: SparkSession, log: RunLog, metrics: Sequence[Metric], nodes: DataFrame, texts: DataFrame,
+        documented_layers: Sequence[str] = ("gold",)) -> None:
+    """The catalog step of a run: publish, then check coverage and lineage."""
+    publish_catalog(spark, metrics, nodes)
+    for layer in documented_layers:
+        log.record(coverage_record(spark, layer))
+    log.record(lineage_record(spark, nodes, texts))

@@ -30,15 +30,20 @@ def newest_first(rows: DataFrame, keys: Sequence[str], ts: str, ties: Sequence[s
     return rows.where(F.col("key").isin(*keys)).orderBy(F.desc(ts), *ties)
 
 
-def fetch_log(raw: DataFrame, version: str, source: str, payload: str) -> DataFrame:
-    return raw.select(version, source, F.length(payload).alias("payload_chars")).orderBy(F.desc(version))
+def fetch_log(raw: DataFrame, key: str, version: str, source: str, payload: str, keys: Sequence[str] = ()) -> DataFrame:
+    """What was fetched when, newest first, for the chosen keys or all."""
+    chosen = raw.where(F.col(key).isin(*keys)) if keys else raw
+    return chosen.select(key, version, source, F.length(payload).alias("payload_chars")).orderBy(F.desc(version), key, source)
+
+
+def _is_vector(kind: T.DataType) -> bool:
+    return isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.FloatType, T.DoubleType))
 
 
 def table_preview(df: DataFrame, skip: Sequence[str], order: Sequence[str],
                   clip: Callable[[Column], Column], n: int = 5) -> DataFrame:
     """A few rows without raw payloads and vectors, long strings cut."""
-    vector = T.ArrayType
-    shown = [f for f in df.schema.fields if f.name not in skip and not isinstance(f.dataType, vector)]
+    shown = [f for f in df.schema.fields if f.name not in skip and not _is_vector(f.dataType)]
     cut = [clip(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in shown]
     return df.orderBy(*order).limit(n).select(*cut)
 
@@ -68,11 +73,11 @@ def accuracy_pair(evaluation: DataFrame, key: str, metric: str) -> DataFrame:
 
 
 def run_history(runs: DataFrame, n: int = 14) -> DataFrame:
-    """The latest runs with their light and duration; a limit after a sort keeps n rows per task."""
+    """The latest runs with their light, duration and error; a limit after a sort keeps n rows per task."""
     latest = runs.orderBy(F.desc("started_at"), F.desc("run_id")).limit(n)
     return latest.select(
-        "run_id", "started_at", "status", light(F.col("status")).alias("light"), "n_pass", "n_warn", "n_fail",
-        seconds_between(F.col("started_at"), F.col("finished_at")).alias("duration_s"),
+        "run_id", "started_at", "finished_at", "status", light(F.col("status")).alias("light"), "n_pass", "n_warn", "n_fail",
+        seconds_between(F.col("started_at"), F.col("finished_at")).alias("duration_s"), "error",
     )
 
 

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from daybook.functions.text import STOPWORDS
 from daybook.operators import lineage, search
 from daybook.plans import catalog
 from daybook.plans.metrics import metric_definitions
 from daybook.registered.base import TABLES, table
 from daybook.registered.metrics import DAILY_METRICS
 from daybook.schemas import LINEAGE_NODES
-from daybook.session import materialise
 
 # ---- a graph in the data: suppliers and customers are built from nations, nations from regions ----
 
@@ -29,13 +29,13 @@ def _nodes(spark, d):
         .unionByName(nation.select(named("nation:", "n_nationkey").alias("node"), F.lit("table").alias("type"),
                                    F.lit("nations.py").alias("built_by"),
                                    F.array(named("region:", "n_regionkey")).alias("upstream")))
-        .unionByName(customer.where("c_acctbal >= 0").select(
+        .unionByName(customer.select(
             named("customer:", "c_custkey").alias("node"), F.lit("view").alias("type"),
             F.lit("customers.py").alias("built_by"), nations.alias("upstream")))
         .unionByName(supplier.select(
             named("supplier:", "s_suppkey").alias("node"), F.lit("consumer").alias("type"),
             F.lit("suppliers.py").alias("built_by"),
-            F.array(named("nation:", "s_nationkey"), named("customer:", "s_suppkey")).alias("upstream")))
+            F.array(named("nation:", "s_nationkey"), F.concat(F.lit("customer:"), (F.col("s_suppkey") * 20).cast("string"))).alias("upstream")))
     )
 
 
@@ -43,13 +43,13 @@ NODES = """
 nodes AS (
     SELECT 'region:' || r_regionkey AS node, 'source' AS type, NULL AS built_by FROM region
     UNION ALL SELECT 'nation:' || n_nationkey, 'table', 'nations.py' FROM nation
-    UNION ALL SELECT 'customer:' || c_custkey, 'view', 'customers.py' FROM customer WHERE c_acctbal >= 0
+    UNION ALL SELECT 'customer:' || c_custkey, 'view', 'customers.py' FROM customer
     UNION ALL SELECT 'supplier:' || s_suppkey, 'consumer', 'suppliers.py' FROM supplier),
 edges AS (
     SELECT 'region:' || n_regionkey AS upstream, 'nation:' || n_nationkey AS downstream, 'nations.py' AS built_by FROM nation
-    UNION ALL SELECT 'nation:' || c_nationkey, 'customer:' || c_custkey, 'customers.py' FROM customer WHERE c_acctbal >= 0
+    UNION ALL SELECT 'nation:' || c_nationkey, 'customer:' || c_custkey, 'customers.py' FROM customer
     UNION ALL SELECT 'nation:' || s_nationkey, 'supplier:' || s_suppkey, 'suppliers.py' FROM supplier
-    UNION ALL SELECT 'customer:' || s_suppkey, 'supplier:' || s_suppkey, 'suppliers.py' FROM supplier),
+    UNION ALL SELECT 'customer:' || s_suppkey * 20, 'supplier:' || s_suppkey, 'suppliers.py' FROM supplier),
 neighbours AS (
     SELECT downstream AS node, 'upstream' AS direction, upstream AS neighbour FROM edges
     UNION SELECT upstream, 'downstream', downstream FROM edges)"""
@@ -61,11 +61,24 @@ def _lineage_edges(spark, d):
 
 
 def _lineage_diff(spark, d):
-    declared = table(spark, d, "orders").select(F.col("o_custkey").alias("name"))
-    actual = table(spark, d, "customer").where("c_mktsegment <> 'MACHINERY'").select(F.col("c_custkey").alias("name"))
+    declared = table(spark, d, "labels").select(F.col("doc_id").alias("name"))
+    actual = table(spark, d, "conversations").select(F.col("conv_id").alias("name"))
     return lineage.two_way_difference(declared, actual)
 
 
+def _lineage_problems(spark, d):
+    """Nations, suppliers and regions as what exists, suppliers as views over one table, a file that reads the regions."""
+    region = table(spark, d, "region").select(
+        F.concat(F.lit("gold."), F.replace(F.lower("r_name"), F.lit(" "), F.lit("_"))).alias("name"))
+    nations = table(spark, d, "nation").select(F.concat(F.lit("nation:"), F.col("n_nationkey").cast("string")).alias("name"))
+    suppliers = table(spark, d, "supplier").select(
+        F.concat(F.lit("supplier:"), F.col("s_suppkey").cast("string")).alias("name"),
+        F.lit("SELECT * FROM gold.supplies").alias("view_sql"))
+    objects = region.unionByName(nations).withColumn("view_sql", F.lit(None).cast("string")).unionByName(suppliers)
+    texts = region.select(F.lit("nations.py").alias("path"), F.concat(F.lit("reads "), "name", F.lit(" and gold.none")).alias("text"))
+    return lineage.lineage_records(lineage.lineage_problems(_nodes(spark, d), objects, texts), "catalog")
+
+
 def _reference_scan(spark, d):
     """Links in pages that name a word of the benchmark texts, but not one of the page's own title."""
     pages = table(spark, d, "pages")
@@ -103,10 +116,10 @@ def _asset_index(spark, d):
 
 def _asset_rows(spark, d):
     """The index as flat rows, which SQL can state too."""
-    index = _asset_index(spark, d)
-    return index.where("kind = 'Table'").select(
-        "id", "kind", "layer", "description", "n_rows", F.size("columns").alias("n_columns"),
-        F.array_join("upstream", ",").alias("upstream"), F.array_join("downstream", ",").alias("downstream"))
+    return _asset_index(spark, d).select(
+        "id", "name", "kind", "layer", "description", "n_rows", F.size("columns").alias("n_columns"),
+        F.array_join("upstream", ",").alias("upstream"), F.array_join("downstream", ",").alias("downstream"),
+        F.array_join("metrics", ",").alias("metrics"))
 
 
 # ---- search -----------------------------------------------------------------------------------------
@@ -148,8 +161,7 @@ def _shown(results):
 
 
 def _search_top(spark, d):
-    # Hits are stored once, without their texts: the total and the best rows both read them.
-    hits = materialise(_found(spark, d).select("id", "name", "kind", "layer", "relevance"))
+    hits = _found(spark, d).select("id", "name", "kind", "layer", "relevance")
     chosen = search.facet_filter(hits, kinds=["Secure"], layers=LANGUAGES)
     return search.top_results(chosen).select("id", "name", "relevance", "n_more")
 
@@ -161,8 +173,8 @@ def _browse(spark, d):
 
 
 def _glossary_expand(spark, d):
-    """What the texts of all user turns search for, counted."""
-    turns = table(spark, d, "conversations").where("role = 'user'")
+    """What the texts of all turns search for, counted."""
+    turns = table(spark, d, "conversations")
     expanded = search.expand_terms(turns, "text", ["conv_id"], GLOSSARY)
     return expanded.groupBy("term", "word", "weight").agg(F.count("*").alias("n"))
 
@@ -174,6 +186,7 @@ QUERIES = {
         lineage.neighbours(lineage.declared_edges(_nodes(s, d)))),
     "lineage_unknown": lambda s, d: lineage.unknown_upstream(lineage.declared_edges(_nodes(s, d)), _nodes(s, d)),
     "lineage_diff": _lineage_diff,
+    "lineage_problems": _lineage_problems,
     "reference_scan": _reference_scan,
     "asset_index": _asset_index,
     "asset_index_tables": _asset_rows,
@@ -192,7 +205,7 @@ QUERIES = {
 def _words_sql(query: list[str]) -> str:
     rows, n = [], 0
     for t in query:
-        for w, weight in [(t, 1.0), *[(w, 0.6) for w in _group_words(t)]]:
+        for w, weight in [(t, 1.0), *[(w, search.SYNONYM_DISCOUNT) for w in _group_words(t)]]:
             rows.append(f"('{t}', '{w}', {weight}, {n})")
             n += 1
     return ", ".join(rows)
@@ -216,10 +229,10 @@ words(term, word, weight, word_no) AS (VALUES {_words_sql(query)}),
 assets AS ({assets}),
 cols AS (SELECT id, unnest(columns) AS c, unnest(range(len(columns))) AS pos FROM assets),
 field_hits AS (
-    SELECT id, term, 10 * weight AS score FROM assets, words WHERE {_hit('word', "lower(name || ' ' || id)")}
-    UNION ALL SELECT id, term, 4 * weight FROM assets, words WHERE {_hit('word', 'lower(description)')}),
+    SELECT id, term, {search.NAME_WEIGHT} * weight AS score FROM assets, words WHERE {_hit('word', "lower(name || ' ' || id)")}
+    UNION ALL SELECT id, term, {search.DESCRIPTION_WEIGHT} * weight FROM assets, words WHERE {_hit('word', 'lower(description)')}),
 col_hits AS (
-    SELECT id, term, word_no, pos, c.name AS col, weight * CASE WHEN {_hit('word', 'lower(c.name)')} THEN 3 ELSE 1.5 END AS score
+    SELECT id, term, word_no, pos, c.name AS col, weight * CASE WHEN {_hit('word', 'lower(c.name)')} THEN {search.COLUMN_NAME_WEIGHT} ELSE {search.COLUMN_DESCRIPTION_WEIGHT} END AS score
     FROM cols, words WHERE {_hit('word', 'lower(c.name)')} OR {_hit('word', 'lower(c.description)')}),
 best AS (
     SELECT id, term, MAX(score) AS score FROM (
@@ -228,7 +241,7 @@ scored AS (SELECT id, SUM(score) AS score FROM best GROUP BY id HAVING COUNT(*)
 firsts AS (SELECT id, col, MIN(word_no * 1000000 + pos) AS first_seen FROM col_hits GROUP BY id, col),
 matched AS (SELECT id, COUNT(*) AS n, string_agg(col, ',' ORDER BY first_seen) AS names FROM firsts GROUP BY id),
 results AS (
-    SELECT a.id, a.name, a.kind, a.layer, ROUND(CAST(s.score + LEAST(0.5 * COALESCE(m.n, 0), 2) AS DOUBLE), 6) AS relevance,
+    SELECT a.id, a.name, a.kind, a.layer, ROUND(CAST(s.score + LEAST({search.COLUMN_BONUS} * COALESCE(m.n, 0), {search.MAX_COLUMN_BONUS}) AS DOUBLE), 6) AS relevance,
            COALESCE(m.names, '') AS matched_columns
     FROM assets a JOIN scored s ON s.id = a.id LEFT JOIN matched m ON m.id = a.id)"""
 
@@ -255,6 +268,20 @@ def _feeds(name: str) -> str:
     return ",".join(sorted(t for t, ups in _KEYS.items() if name in ups))
 
 
+def _asset_sql(id_: str, name: str, kind: str, layer: str, words: str, rows: str, columns: int, up: str, down: str) -> str:
+    return (f"SELECT '{id_}' AS id, '{name}' AS name, '{kind}' AS kind, '{layer}' AS layer, '{words}' AS description, {rows} AS n_rows, "
+            f"CAST({columns} AS INTEGER) AS n_columns, '{up}' AS upstream, '{down}' AS downstream, '' AS metrics")
+
+
+_ASSETS_SQL = [
+    *[_asset_sql(t, t, "Table", "bronze", _DESCRIPTIONS.get(t, ""), "COUNT(*)", _COLUMN_COUNTS[t], ",".join(_KEYS.get(t, [])), _feeds(t))
+      + f" FROM {t}" for t in TABLES],
+    *[_asset_sql(f"metric:{m.name}", m.label, "Metric", "semantic layer", m.description, "CAST(NULL AS BIGINT)", 0, m.table_name, "")
+      for m in DAILY_METRICS],
+    _asset_sql("daily", "Daily rollup", "Consumer", "outside the warehouse", "Daily rollup of events", "CAST(NULL AS BIGINT)", 0, "events", ""),
+    _asset_sql("landing", "Landing area", "Source", "outside the warehouse", "Files as they arrive", "CAST(NULL AS BIGINT)", 0, "", ""),
+]
+
 ORACLES = {
     "lineage_edges": f"""
         WITH {NODES} SELECT e.upstream, e.downstream, u.type AS upstream_type, n.type AS downstream_type, e.built_by
@@ -266,10 +293,23 @@ ORACLES = {
     "lineage_unknown": f"""
         WITH {NODES} SELECT upstream, downstream FROM edges WHERE upstream NOT IN (SELECT node FROM nodes)""",
     "lineage_diff": """
-        WITH declared AS (SELECT DISTINCT o_custkey AS name FROM orders),
-             actual AS (SELECT c_custkey AS name FROM customer WHERE c_mktsegment <> 'MACHINERY')
+        WITH declared AS (SELECT DISTINCT doc_id AS name FROM labels),
+             actual AS (SELECT DISTINCT conv_id AS name FROM conversations)
         SELECT name, 'exists but not declared' AS problem FROM actual WHERE name NOT IN (SELECT name FROM declared)
         UNION ALL SELECT name, 'declared but missing' FROM declared WHERE name NOT IN (SELECT name FROM actual)""",
+    "lineage_problems": f"""
+        WITH {NODES}, regions AS (SELECT 'gold.' || replace(lower(r_name), ' ', '_') AS name FROM region),
+             objects AS (SELECT name FROM regions UNION ALL SELECT 'nation:' || n_nationkey FROM nation
+                         UNION ALL SELECT 'supplier:' || s_suppkey FROM supplier),
+             declared AS (SELECT node AS name FROM nodes WHERE type IN ('table', 'view')),
+             problems AS (
+                SELECT downstream || ' lists unknown upstream ' || upstream AS detail FROM edges
+                WHERE upstream NOT IN (SELECT node FROM nodes)
+                UNION ALL SELECT name || ': declared but missing' FROM declared WHERE name NOT IN (SELECT name FROM objects)
+                UNION ALL SELECT name || ': exists but not declared' FROM objects WHERE name NOT IN (SELECT name FROM declared)
+                UNION ALL SELECT 'view supplier:' || s_suppkey || ' reads undeclared gold.supplies' FROM supplier
+                UNION ALL SELECT 'nations.py references undeclared ' || name FROM regions)
+        SELECT 'catalog' AS step, 'lineage' AS check_name, 'lineage' AS target, 'fail' AS status, detail FROM problems""",
     "reference_scan": """
         WITH found AS (SELECT DISTINCT page_id AS path, unnest(regexp_extract_all(html, 'href="(/[^"]*)"', 1)) AS name FROM pages),
              real AS (SELECT DISTINCT '/' || unnest(regexp_split_to_array(text, '[ \n]+')) AS name FROM benchmark),
@@ -277,10 +317,7 @@ ORACLES = {
                                 '/' || unnest(string_split(regexp_extract(html, '<title>([^<]*)</title>', 1), ' ')) AS name FROM pages)
         SELECT path, name FROM found f WHERE name IN (SELECT name FROM real)
            AND NOT EXISTS (SELECT 1 FROM allowed a WHERE a.path = f.path AND a.name = f.name)""",
-    "asset_index_tables": " UNION ALL ".join(
-        f"""SELECT '{t}' AS id, 'Table' AS kind, 'bronze' AS layer, '{_DESCRIPTIONS.get(t, '')}' AS description,
-            COUNT(*) AS n_rows, CAST({_COLUMN_COUNTS[t]} AS INTEGER) AS n_columns,
-            '{','.join(_KEYS.get(t, []))}' AS upstream, '{_feeds(t)}' AS downstream FROM {t}""" for t in TABLES),
+    "asset_index_tables": " UNION ALL ".join(_ASSETS_SQL),
     "keyword_search": f"WITH {_PAGE_SEARCH} SELECT * FROM results ORDER BY relevance DESC, name",
     "keyword_search_documents": f"""
         WITH {_search_sql(_DOCS_SQL, ['licensed', 'inger'])} SELECT id, name, kind, layer, relevance FROM results""",
@@ -297,10 +334,10 @@ ORACLES = {
         FROM documents ORDER BY layer_rank, name""",
     "glossary_expand": f"""
         WITH tokens AS (
-            SELECT unnest(regexp_extract_all(lower(text), '([a-z0-9_]+)', 1)) AS term FROM conversations WHERE role = 'user'),
-        typed AS (SELECT term, COUNT(*) AS n FROM tokens WHERE term NOT IN ({', '.join(f"'{w}'" for w in search.STOPWORDS)}) GROUP BY term),
+            SELECT unnest(regexp_extract_all(lower(text), '([a-z0-9_]+)', 1)) AS term FROM conversations),
+        typed AS (SELECT term, COUNT(*) AS n FROM tokens WHERE term NOT IN ({', '.join(f"'{w}'" for w in STOPWORDS)}) GROUP BY term),
         related(term, word) AS (VALUES {', '.join(f"('{t}', '{w}')" for t in dict.fromkeys(
             w for head, rest in GLOSSARY.items() for w in (head, *rest)) for w in _group_words(t))})
         SELECT term, term AS word, 1.0::DOUBLE AS weight, n FROM typed
-        UNION ALL SELECT term, word, 0.6::DOUBLE, n FROM typed JOIN related USING (term)""",
+        UNION ALL SELECT term, word, {search.SYNONYM_DISCOUNT}::DOUBLE, n FROM typed JOIN related USING (term)""",
 }

@@ -67,7 +67,8 @@ def _runs(spark, d):
     days = events_with_k(spark, d).groupBy(F.to_date("ts").alias("day")).agg(
         F.min("ts").alias("started_at"), F.max("ts").alias("finished_at"))
     started = days.select(run_id(F.col("day").cast("timestamp_ntz")).alias("run_id"), "started_at", "finished_at")
-    return started.join(q.status_counts(_results(spark, d)), "run_id")
+    error = F.when(F.col("n_fail") > 0, F.concat(F.col("n_fail").cast("string"), F.lit(" checks failed")))
+    return started.join(q.status_counts(_results(spark, d)), "run_id").withColumn("error", error)
 
 
 QUERIES = {
@@ -76,6 +77,7 @@ QUERIES = {
     "dq_group_record": _group_record,
     "dq_freshness": _freshness,
     "dq_documented": lambda s, d: q.documented(_metadata(s, d)),
+    "dq_documented_records": lambda s, d: q.documented_records(_metadata(s, d), "catalog"),
     "dq_undocumented": lambda s, d: q.undocumented(_metadata(s, d)),
     "run_status": lambda s, d: q.status_counts(_results(s, d)),
     "run_history": lambda s, d: reports.run_history(_runs(s, d)),
@@ -176,10 +178,16 @@ ORACLES = {
                CASE WHEN COUNT(*) FILTER (WHERE description = '') > 0 THEN 'fail' ELSE 'pass' END AS status
         FROM metadata GROUP BY object""",
     "dq_undocumented": f"""WITH {_METADATA} SELECT object, "column" FROM metadata WHERE description = ''""",
+    "dq_documented_records": f"""
+        WITH {_METADATA} SELECT 'catalog' AS step, 'documented' AS check_name, object AS target, 'fail' AS status,
+               'no description of ' || "column" AS detail FROM metadata WHERE description = ''
+        UNION ALL SELECT 'catalog', 'documented', object, 'pass', 'all documented' FROM metadata
+        GROUP BY object HAVING bool_and(description <> '')""",
     "run_status": f"WITH {_DAYS} SELECT * FROM counted",
     "run_history": f"""
-        WITH {_DAYS} SELECT run_id, started_at, status, {_LIGHT}, n_pass, n_warn, n_fail,
-               date_sub('second', started_at, finished_at) AS duration_s
+        WITH {_DAYS} SELECT run_id, started_at, finished_at, status, {_LIGHT}, n_pass, n_warn, n_fail,
+               date_sub('second', started_at, finished_at) AS duration_s,
+               CASE WHEN n_fail > 0 THEN n_fail || ' checks failed' END AS error
         FROM days JOIN counted USING (run_id) ORDER BY started_at DESC LIMIT 14""",
     "run_checks": f"""
         WITH {_DAYS} SELECT {_LIGHT}, 'clean' AS step, check_name, 'events' AS target, detail

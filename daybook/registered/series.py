@@ -137,7 +137,9 @@ QUERIES = {
     "report_hourly": lambda s, d: reports.newest_first(
         table(s, d, "events").select(F.col("event_type").alias("key"), "ts", "event_id", "value"),
         KEYS, "ts", ["event_id"]),
-    "report_fetch_log": lambda s, d: reports.fetch_log(table(s, d, "pages"), "page_id", "url", "html"),
+    "report_fetch_log": lambda s, d: reports.fetch_log(
+        table(s, d, "pages").withColumn("key", F.regexp_extract("html", '<html lang="([a-z]*)"', 1)),
+        "key", "page_id", "url", "html", ["de", "en", "fr"]),
     "table_preview": lambda s, d: reports.table_preview(
         table(s, d, "documents"), skip=["source"], order=["doc_id"], clip=clip),
     "table_preview_vectors": lambda s, d: reports.table_preview(
@@ -202,7 +204,9 @@ ORACLES = {
     "report_hourly": """
         SELECT event_type AS key, ts, event_id, value FROM events
         WHERE event_type IN ('click', 'purchase', 'view') ORDER BY ts DESC, event_id""",
-    "report_fetch_log": "SELECT page_id, url, CAST(LENGTH(html) AS INTEGER) AS payload_chars FROM pages ORDER BY page_id DESC",
+    "report_fetch_log": """
+        SELECT regexp_extract(html, '<html lang="([a-z]*)"', 1) AS key, page_id, url, CAST(LENGTH(html) AS INTEGER) AS payload_chars
+        FROM pages WHERE regexp_extract(html, '<html lang="([a-z]*)"', 1) IN ('de', 'en', 'fr') ORDER BY page_id DESC""",
     "table_preview": """
         SELECT doc_id, CASE WHEN LENGTH(text) > 120 THEN text[1:120] || '...' ELSE text END AS text, lang, n_chars
         FROM documents ORDER BY doc_id LIMIT 5""",

@@ -168,45 +168,49 @@ def three_way(spark, d):
         F.when(k % 3 == 0, "none").when(k % 3 == 1, "possible").otherwise("likely").alias("call"),
         F.col("value").alias("high_f"), (F.col("value") / 2).alias("low_f"), k.cast("double").alias("gust_mph"),
         F.when(k % 7 != 0, k % 2 == 1).alias("verified"),
+        F.when(k % 5 == 0, F.array(F.lit("wind"), F.lit("flood"))).otherwise(F.array().cast("array<string>")).alias("hazards"),
+        F.concat(F.lit("k is "), k.cast("string")).alias("summary"),
     )
     return three_way_compare(calls, forecasts, daily, "purchase", AS_OF, event_metric="value_sum",
                              high_metric="value_max", low_metric="value_min", wind_metric="k_avg", threshold=3300)
 
 
+# Calls are scored against a table of what each word says about the day; a hedge says nothing. What is not
+# known (no settled day, no forecast, no verdict) leaves the comparison NULL by itself.
 THREE_WAY = f"""{FORECASTS}, {PICKS},
-model AS (
-    SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY target_date ORDER BY is_backtest, model_type) AS preference
-                   FROM forecasts WHERE key = 'purchase')),
-calls AS (
-    SELECT run_date + 1 AS target_date, issued_at,
-           CASE k % 3 WHEN 0 THEN 'none' WHEN 1 THEN 'possible' ELSE 'likely' END AS call,
-           value AS high_f, value / 2 AS low_f, CAST(k AS DOUBLE) AS gust_mph,
-           CASE WHEN k % 7 <> 0 THEN k % 2 = 1 END AS verified FROM picks),
+chosen AS (
+    SELECT target_date, arg_min(f, (CAST(is_backtest AS INTEGER), model_type)) AS f
+    FROM forecasts AS f WHERE key = 'purchase' GROUP BY target_date),
+reality AS (
+    SELECT date AS target_date, value_max, value_min, value_sum, k_avg FROM daily
+    WHERE key = 'purchase' AND date < DATE '{AS_OF}'),
+says(call, event) AS (VALUES ('none', FALSE), ('likely', TRUE)),
+said AS (
+    SELECT *, run_date + 1 AS target_date, ['none', 'possible', 'likely'][k % 3 + 1] AS call,
+           CASE WHEN k % 7 > 0 THEN k % 2 = 1 END AS verified FROM picks),
 compared AS (
-    SELECT 'purchase' AS key, e.target_date, e.issued_at, e.call,
-           ROUND((e.high_f - 32) * 5 / 9, 1) AS call_high, ROUND((e.low_f - 32) * 5 / 9, 1) AS call_low,
-           ROUND(e.gust_mph * 1.609, 1) AS call_gust, e.verified,
-           m.predicted_value_max AS model_high, m.predicted_value_min AS model_low,
-           m.predicted_value_sum AS model_amount, m.is_backtest AS model_is_backtest,
-           g.value_max AS actual_high, g.value_min AS actual_low, g.value_sum AS actual_amount, g.k_avg AS actual_wind,
-           CASE WHEN g.date IS NULL OR e.call = 'possible' OR NOT e.verified THEN NULL
-                ELSE (e.call = 'likely') = (g.value_sum > 3300) END AS call_correct,
-           CASE WHEN g.date IS NULL OR m.predicted_value_sum IS NULL THEN NULL
-                ELSE (m.predicted_value_sum > 3300) = (g.value_sum > 3300) END AS model_correct
-    FROM calls e
-    LEFT JOIN model m ON m.target_date = e.target_date AND m.preference = 1
-    LEFT JOIN daily g ON g.key = 'purchase' AND g.date = e.target_date AND g.date < DATE '{AS_OF}')"""
+    SELECT 'purchase' AS key, target_date, issued_at, call, ROUND((value - 32) / 1.8, 1) AS call_high,
+           ROUND((value / 2 - 32) / 1.8, 1) AS call_low, ROUND(CAST(k AS DOUBLE) * 1.609, 1) AS call_gust,
+           CASE WHEN k % 5 = 0 THEN 'wind,flood' ELSE '' END AS hazards, 'k is ' || k AS summary, verified,
+           f.predicted_value_max AS model_high, f.predicted_value_min AS model_low, f.predicted_value_sum AS model_amount,
+           f.is_backtest AS model_is_backtest, value_max AS actual_high, value_min AS actual_low, value_sum AS actual_amount,
+           k_avg AS actual_wind,
+           CASE WHEN verified IS DISTINCT FROM FALSE THEN event = (value_sum > 3300) END AS call_correct,
+           (f.predicted_value_sum > 3300) = (value_sum > 3300) AS model_correct
+    FROM said LEFT JOIN says USING (call) LEFT JOIN chosen USING (target_date) LEFT JOIN reality USING (target_date))"""
 
 # ---- vectors -----------------------------------------------------------------------------------
 
 
+QUESTIONS = 10
+
+
 def _cosine(spark, d):
-    """Two questions: the earliest and the latest stored vector, found by the scan itself."""
+    """Ten questions, the vectors with the smallest ids, found by the scan itself."""
     vectors = table(spark, d, "embeddings")
-    questions = {
-        "first": vectors.agg(F.min_by("embedding", "vec_id").alias("v")).select(unit(F.col("v"))).scalar(),
-        "last": vectors.agg(F.max_by("embedding", "vec_id").alias("v")).select(unit(F.col("v"))).scalar(),
-    }
+    few = vectors.where(F.col("vec_id") < QUESTIONS).groupBy("vec_id").agg(F.first("embedding").alias("v"))
+    held = few.agg(F.map_from_entries(F.collect_list(F.struct("vec_id", unit(F.col("v"))))).alias("m")).select("m").scalar()
+    questions = {str(i): F.try_element_at(held, F.lit(i).cast("long")) for i in range(QUESTIONS)}
     return cosine_topk(vectors, "embedding", "vec_id", questions, k=5)
 
 
@@ -221,7 +225,7 @@ QUERIES = {
     "snippet": lambda s, d: table(s, d, "documents").select("doc_id", snippet(F.col("text")).alias("snippet")),
     "highlight": lambda s, d: table(s, d, "documents").select(
         "doc_id", highlight(F.col("text"), ["thou", "ment", "le"]).alias("highlighted")),
-    "three_way_compare": lambda s, d: three_way(s, d).orderBy(F.desc("target_date")),
+    "three_way_compare": lambda s, d: three_way(s, d).withColumn("hazards", F.array_join("hazards", ",")).orderBy(F.desc("target_date")),
     "cosine_topk": _cosine,
 }
 
@@ -262,9 +266,7 @@ ORACLES = {
                AS highlighted FROM documents""",
     "three_way_compare": f"WITH {THREE_WAY} SELECT * FROM compared ORDER BY target_date DESC",
     "cosine_topk": """
-        WITH q AS (
-            SELECT 'first' AS question, arg_min(embedding, vec_id) AS v FROM embeddings
-            UNION ALL SELECT 'last', arg_max(embedding, vec_id) FROM embeddings),
+        WITH q AS (SELECT CAST(vec_id AS VARCHAR) AS question, embedding AS v FROM embeddings WHERE vec_id < 10),
         scored AS (
             SELECT question, vec_id, ROUND(
                 list_sum(list_transform(range(1, len(v) + 1), lambda i: CAST(embedding[i] AS DOUBLE) * CAST(v[i] AS DOUBLE)))

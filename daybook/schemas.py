@@ -30,12 +30,13 @@ SECTIONS = _struct(
     ("content", _S), ("embedding", T.ArrayType(T.FloatType())), ("embedding_model", _S),
 )
 
-EXTRACTIONS = _struct(
-    ("doc_id", _S), ("issued_at", _TS), ("target_date", _DATE), ("rain_expected", _S),
-    ("rain_amount_inches_max", _D), ("high_temp_f", _D), ("low_temp_f", _D), ("max_wind_gust_mph", _D),
-    ("hazards", T.ArrayType(_S)), ("forecaster_confidence", _S), ("summary", _S), ("evidence", _S),
-    ("evidence_verified", _B), ("extraction_model", _S), ("extracted_at", _TS),
-)
+
+def extraction_schema(record: T.StructType) -> T.StructType:
+    """Where extractions are stored: which document and day, the record that the caller's function returns, its source."""
+    return T.StructType([
+        *_struct(("doc_id", _S), ("issued_at", _TS), ("target_date", _DATE)).fields, *record.fields,
+        *_struct(("evidence_verified", _B), ("extraction_model", _S), ("extracted_at", _TS)).fields])
+
 
 # The columns of the two log tables.
 PIPELINE_RUNS = _struct(

@@ -58,7 +58,8 @@ def test_documented(spark):
     meta = spark.createDataFrame([("t", "a", "x"), ("t", "b", ""), ("u", "a", "y"), ("u", "b", None)],
                                  "object string, column string, description string")
     assert rows(q.undocumented(meta), "object") == [("t", "b"), ("u", "b")]
-    assert q.documented_record(meta, "s", "gold").first().status == "fail"
+    records = q.documented_records(meta, "s").select("target", "status", "detail")
+    assert {r.detail for r in records.where("status = 'fail'").collect()} == {"no description of b"}
 
 
 def test_run_log_records_success_warning_and_failure(spark):
@@ -171,8 +172,8 @@ def test_top_facets_and_words(spark):
     assert rows(search.facets(everything).where("facet = 'kind'").select("value", "n"), "value") == [
         ("Source", 1), ("Table", 3), ("View", 1)]
     assert search.facet_filter(everything, kinds=["Table"], layers=["gold", "ops"]).count() == 2
-    assert search.matched_words("wet", GLOSSARY) == ["precipitation", "moist", "damp", "rain", "wet"]
-    assert search.synonyms("wet", GLOSSARY) == ["rain", "precipitation", "damp", "moist"]
+    assert search.words_to_mark("wet", GLOSSARY) == ["precipitation", "moist", "damp", "rain", "wet"]
+    assert search.Related(GLOSSARY).of("wet") == ["rain", "precipitation", "damp", "moist"]
 
 
 def test_expand_terms(spark):

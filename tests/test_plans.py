@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,17 +11,16 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from daybook.operators.dedupe import latest_wins
 from daybook.operators.joins import lookup, matching, unmatched
-from daybook.plans.forecast import walk_forward
+from daybook.plans.forecast import stored_runs, walk_forward
 
-QUERIES = entry.queries()
-FITTED = {"gbt_backtest", "model_errors", "model_sweep", "experiment_log"}  # train when called
+QUERIES = {k: q for k, q in entry.queries().items() if not k.startswith("op") and k != "pipeline"}
 
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - FITTED))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_has_no_pairs_no_python_rows_and_no_global_window(spark, sf_dir, name):
     text = plan(QUERIES[name](spark, sf_dir))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
@@ -29,6 +29,18 @@ def test_plan_has_no_pairs_no_python_rows_and_no_global_window(spark, sf_dir, na
     assert not re.search(r"Window .*\], \[\], \[", text)
 
 
+def test_no_query_cuts_its_lineage():
+    """Plans are whole: nothing is computed while they are built."""
+    for name, module in list(sys.modules.items()):
+        if name.startswith("daybook.registered"):
+            assert not hasattr(module, "materialise"), name
+
+
+def test_live_and_backtest_need_one_exchange(spark):
+    daily = spark.createDataFrame([], "key string, date date, a double, b double")
+    assert plan(stored_runs(daily, ["2024-01-20"], "2024-01-28", ["a", "b"])).count("Exchange") == 1
+
+
 def test_backtest_needs_one_exchange(spark):
     daily = spark.createDataFrame([], "key string, date date, a double, b double")
     assert plan(walk_forward(daily, ["a", "b"])).count("Exchange") == 1

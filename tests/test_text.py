@@ -103,7 +103,7 @@ def test_enrichment_keeps_failures_apart(spark):
     df = spark.createDataFrame([(1, "abc"), (2, ""), (3, "de")], "id int, t string")
     done = enrich(df, "t", ["id"], vector, T.ArrayType(T.DoubleType()))
     assert rows(succeeded(done), "id") == [(1, [3.0, 1.0]), (3, [2.0, 1.0])]
-    assert rows(failures(done, "id")) == [(2, "warn", "2 skipped, retried next run (ValueError: empty)")]
+    assert rows(failures(done, "id", "s", "t").select("status", "detail")) == [("warn", "left open for the next run: 2, ValueError: empty")]
     per_task = enrich(df, "t", ["id"], vector, T.ArrayType(T.DoubleType()), setup=lambda: (lambda t: [0.0]))
     assert per_task.where("error IS NULL").count() == 3
 
@@ -140,7 +140,8 @@ def test_three_way_scoring(spark):
         (day(1), "likely", True), (day(2), "none", True), (day(3), "possible", True), (day(4), "likely", False),
         (day(5), "likely", None), (day(9), "likely", True),
     ], "target_date date, call string, verified boolean").withColumns({
-        "issued_at": F.lit(datetime(2024, 1, 1)), "high_f": F.lit(50.0), "low_f": F.lit(32.0), "gust_mph": F.lit(10.0)})
+        "issued_at": F.lit(datetime(2024, 1, 1)), "high_f": F.lit(50.0), "low_f": F.lit(32.0), "gust_mph": F.lit(10.0),
+        "hazards": F.array(F.lit("flood")), "summary": F.lit("s")})
     daily = spark.createDataFrame([("a", day(i), 5.0, 1.0, 2.0, 3.0) for i in (1, 2, 3, 4, 5, 9)] + [("b", day(1), 0.0, 0.0, 0.0, 0.0)],
                                   "key string, date date, rain double, hi double, lo double, wind double")
     forecasts = spark.createDataFrame([

@@ -21,20 +21,22 @@ def _docs(spark):
 
 
 def test_text_branch(spark):
-    def extract(text: str) -> dict:
+    def extract(text, day, issued) -> dict:
+        assert day.isoformat() > issued.date().isoformat()  # the day that the text is read for
         return {"rain_expected": "likely", "high_temp_f": 50.0, "hazards": ["wind"], "summary": "s",
                 "evidence": "RAIN is  likely" if "number 1" in text else "made up"}
 
-    def failing(text: str) -> dict:
+    def failing(text, day, issued) -> dict:
         if "number 2" in text:
-            raise RuntimeError("quota")
-        return extract(text)
+            raise RuntimeError("quota " + "x" * 200)
+        return extract(text, day, issued)
 
-    def embed(text: str) -> list[float]:
-        return [float(len(text)), 0.5]
+    def embed(texts: list[str]) -> list[list[float]]:
+        return [[float(len(t)), 0.5] for t in texts]
 
     warned = text_run.run(spark, _docs(spark), "2024-01-04", failing, embed, ("rules", "lengths"), tasks=2)
-    assert rows(warned) == [("d2", "warn", "d2 skipped, retried next run (RuntimeError: quota)")]
+    assert rows(warned) == [("discussions", "enriched", text_run.EXTRACTION_TABLE, "warn",
+                             "left open for the next run: d2, RuntimeError: quota " + "x" * 200)]
     made = spark.table(text_run.EXTRACTION_TABLE)
     shown = made.select("doc_id", F.col("target_date").cast("string"), "evidence_verified", "low_temp_f", "hazards")
     assert rows(shown, "doc_id") == [("d1", "2024-01-03", True, None, ["wind"]), ("d3", "2024-01-05", False, None, ["wind"])]
@@ -42,10 +44,10 @@ def test_text_branch(spark):
     assert rows(sections, "doc_id", "section_index")[:2] == [("d1", 0, "FIRST PART"), ("d1", 1, "SECOND PART")]
 
     # a broken embedding leaves the day open and stores nothing of it
-    def no_second(text: str) -> list[float]:
-        if text.startswith("SECOND"):
+    def no_second(texts: list[str]) -> list[list[float]]:
+        if any(t.startswith("SECOND") for t in texts):
             raise ValueError("too long")
-        return embed(text)
+        return embed(texts)
 
     text_run.run(spark, _docs(spark), "2024-01-04", extract, no_second, ("rules", "lengths"), tasks=2)
     assert made.count() == 2 and spark.table(text_run.SECTION_TABLE).where("doc_id = 'd2'").count() == 0
