@@ -14,7 +14,7 @@ from daybook.plans.forecast import settled_history
 from daybook.registered.base import (
     EVENT_METRICS, EVENTS_DAILY, LINES_DAILY, ORDER_MEASURES, events_daily, events_with_k, lines_daily, table,
 )
-from daybook.sources.json_payload import pack_payloads, unpack_payloads
+from daybook.sources.json_payload import unpack_payloads
 from daybook.sources.landing import land_new_by_id, land_raw
 from daybook.sources.tables import insert_if_absent, scoped_replace
 
@@ -31,24 +31,20 @@ def _latest_wins(spark, d):
     return latest_wins(rows, ["user_id", "hour"], "version", ["event_id"])
 
 
-PACK_BITS = 6
-
-
 def _json_arrays_to_rows(spark, d):
-    """Events packed into raw JSON payloads and unpacked again.
-
-    A pack holds at most 64 rows whatever the data: it is cut from the running row number
-    of a scan task, so neither a hot type nor copies of one event can make it grow.
-    """
-    rows = events_with_k(spark, d).select(
-        F.col("event_type").alias("key"),
-        F.shiftright(F.monotonically_increasing_id(), PACK_BITS).alias("pack"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm").alias("time"),
-        F.col("event_id").cast("double").alias("event_id"), "value", F.col("k").cast("double").alias("k"),
-    )
-    measures = ["event_id", "value", "k"]
-    payloads = pack_payloads(rows, ["key", "pack"], "time", measures)
-    unpacked = unpack_payloads(payloads, "raw_json", measures, keep=["key"])
+    """A payload of two points per event, made inside its row, and unpacked again."""
+    def both(first, second):
+        return F.array(first, second)
+
+    def minute(ts):
+        return F.date_format(ts, "yyyy-MM-dd'T'HH:mm")
+
+    event, k = F.col("event_id").cast("double"), F.col("k").cast("double")
+    hourly = F.struct(
+        both(minute("ts"), minute(F.timestamp_add("HOUR", F.lit(1), "ts"))).alias("time"),
+        both(event, event).alias("event_id"), both(F.col("value"), F.col("value") / 2).alias("value"), both(k, k + 1).alias("k"))
+    payloads = events_with_k(spark, d).select(F.col("event_type").alias("key"), F.to_json(F.struct(hourly.alias("hourly"))).alias("raw_json"))
+    unpacked = unpack_payloads(payloads, "raw_json", ["event_id", "value", "k"], keep=["key"])
     return unpacked.select("key", "ts", F.col("event_id").cast("long").alias("event_id"), "value", "k")
 
 
@@ -160,8 +156,9 @@ ORACLES = {
                    ROW_NUMBER() OVER (PARTITION BY user_id, date_trunc('hour', ts) ORDER BY ts DESC, event_id DESC) AS rn
             FROM events) WHERE rn = 1""",
     "json_arrays_to_rows": """
-        SELECT event_type AS key, CAST(date_trunc('minute', ts) AS TIMESTAMP) AS ts,
-               event_id, value, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events""",
+        SELECT event_type AS key, CAST(date_trunc('minute', ts) AS TIMESTAMP) + to_hours(i) AS ts, event_id,
+               CASE i WHEN 0 THEN value ELSE value / 2 END AS value, CAST(json_extract_string(props, '$.k') AS DOUBLE) + i AS k
+        FROM events, (VALUES (0), (1)) AS points(i)""",
     "json_field": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
     "iso_offset_utc": """
         SELECT event_id, CAST(date_trunc('second', ts) AS TIMESTAMP) + INTERVAL 5 HOUR AS issued_at FROM events""",

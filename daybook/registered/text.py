@@ -189,8 +189,8 @@ said AS (
     SELECT *, run_date + 1 AS target_date, ['none', 'possible', 'likely'][k % 3 + 1] AS call,
            CASE WHEN k % 7 > 0 THEN k % 2 = 1 END AS verified FROM picks),
 compared AS (
-    SELECT 'purchase' AS key, target_date, issued_at, call, ROUND((value - 32) / 1.8, 1) AS call_high,
-           ROUND((value / 2 - 32) / 1.8, 1) AS call_low, ROUND(CAST(k AS DOUBLE) * 1.609, 1) AS call_gust,
+    SELECT 'purchase' AS key, target_date, issued_at, call, ROUND((value - 32) * 5 / 9, 1) AS call_high,
+           ROUND((value / 2 - 32) * 5 / 9, 1) AS call_low, ROUND(CAST(k AS DOUBLE) * 1.609, 1) AS call_gust,
            CASE WHEN k % 5 = 0 THEN 'wind,flood' ELSE '' END AS hazards, 'k is ' || k AS summary, verified,
            f.predicted_value_max AS model_high, f.predicted_value_min AS model_low, f.predicted_value_sum AS model_amount,
            f.is_backtest AS model_is_backtest, value_max AS actual_high, value_min AS actual_low, value_sum AS actual_amount,

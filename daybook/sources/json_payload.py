@@ -29,11 +29,3 @@ def unpack_payloads(df: DataFrame, raw: str, measures: Sequence[str], keep: Sequ
     # The outer form evaluates the arrays once: a plain inline would copy them into a size filter.
     rows = checked.select(*keep, F.inline_outer("_z"))
     return rows.where(F.col("time").isNotNull()).select(*keep, iso_naive(F.col("time")).alias("ts"), *measures)
-
-
-def pack_payloads(df: DataFrame, keys: Sequence[str], time: str, measures: Sequence[str]) -> DataFrame:
-    """The inverse, for replays and tests. The caller's keys must bound the rows per payload."""
-    points = F.array_sort(F.collect_list(F.struct(time, *measures)))
-    grouped = df.groupBy(*keys).agg(points.alias("_p"))
-    hourly = F.struct(F.col(f"_p.{time}").alias("time"), *[F.col(f"_p.{m}").alias(m) for m in measures])
-    return grouped.select(*keys, F.to_json(F.struct(hourly.alias("hourly"))).alias("raw_json"))
