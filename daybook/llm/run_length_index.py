@@ -40,8 +40,10 @@ LENGTH = 200
 #: Different surroundings of one anchor that one index takes.
 HOT = 20_000
 #: Surroundings that are indexed together.
-AT_ONCE = 20_000
-_SLICE = 2 << 20
+AT_ONCE = 8_000
+_SLICE = 1 << 18
+#: Rows of an Arrow batch that goes back to Spark.
+_BACK = 1_024
 
 
 # ---- the index of one collection ----------------------------------------------------------
@@ -166,47 +168,56 @@ _PACKED = T.StructType([
 ])
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for i in range(0, b.num_rows, _BACK):
+            yield b.slice(i, _BACK)
+
+
 def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts compressed one by one, as they are to be shuffled."""
     squeeze = zstandard.ZstdCompressor(level=3).compress
-    for b in batches:
+    for b in _parts(batches):
         body, offsets = text_buffers(b.column("text"))
         z = [squeeze(body[i:j].data) for i, j in zip(offsets[:-1], offsets[1:])]
         yield pa.RecordBatch.from_arrays([b.column(c) for c in ("doc_id", "k1", "k2")] + [pa.array(z, pa.binary())], names=_PACKED.names)
 
 
 _CONTEXTS = T.StructType([
-    T.StructField("a", T.LongType()), T.StructField("c", T.LongType()), T.StructField("n", T.LongType()),
-    T.StructField("hot", T.BooleanType()), T.StructField("far", T.ShortType()), T.StructField("near", T.ShortType()),
-    T.StructField("bytes", T.BinaryType()),
+    T.StructField("a", T.LongType()), T.StructField("c", T.LongType()), T.StructField("far", T.ShortType()),
+    T.StructField("near", T.ShortType()), T.StructField("bytes", T.BinaryType()),
 ])
-_ROWS = 8_000
+_ROWS = 4_000
 
 
 def _cut_contexts(length: int):
+    """The bytes around the anchors that are wanted from a text; of equal texts one row, its holder, gives them."""
+    def batch(columns: list[list]) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int64(), pa.int16(), pa.int16(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=_CONTEXTS.names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
+        columns: list[list] = [[], [], [], [], []]
         for b in batches:
-            rows = []
-            for z, wanted in zip(b.column("z"), b.column("wanted")):
+            for doc, holder, z, wanted in zip(b.column("doc_id"), b.column("holder"), b.column("z"), b.column("wanted")):
+                if doc != holder:
+                    continue
                 text = unpack(z.as_py())
-                for w in wanted.as_py():
-                    cut = text[w["pos"] - w["far"]: w["pos"] - w["near"] + length]
-                    rows.append((w["a"], w["c"], w["n"], w["hot"], w["far"], w["near"], cut))
-                if len(rows) >= _ROWS:
-                    yield pa.RecordBatch.from_pylist([dict(zip(_CONTEXTS.names, r)) for r in rows], schema=_arrow(_CONTEXTS))
-                    rows = []
-            if rows:
-                yield pa.RecordBatch.from_pylist([dict(zip(_CONTEXTS.names, r)) for r in rows], schema=_arrow(_CONTEXTS))
+                v = wanted.values
+                a, c, far, near, pos = (v.field(n).to_pylist() for n in ("a", "c", "far", "near", "pos"))
+                for column, values in zip(columns, (a, c, far, near)):
+                    column += values
+                columns[4] += [text[p - f: p - n + length] for p, f, n in zip(pos, far, near)]
+                if len(columns[0]) >= _ROWS:
+                    yield batch(columns)
+                    columns = [[], [], [], [], []]
+        if columns[0]:
+            yield batch(columns)
 
     return run
 
 
-def _arrow(schema: T.StructType) -> pa.Schema:
-    kinds = {"long": pa.int64(), "short": pa.int16(), "boolean": pa.bool_(), "binary": pa.binary(), "integer": pa.int32()}
-    return pa.schema([(f.name, kinds[f.dataType.typeName()]) for f in schema.fields])
-
-
 _MARKS = T.StructType([
     T.StructField("a", T.LongType()), T.StructField("c", T.LongType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()),
 ])
@@ -311,7 +322,7 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     unpack = zstandard.ZstdDecompressor().decompress
-    for b in batches:
+    for b in _parts(batches):
         sizes, gone, kept, spans = [], [], [], []
         lists = b.column("spans")
         for i, z in enumerate(b.column("z")):
@@ -336,16 +347,14 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # ---- the job -----------------------------------------------------------------------------------
 
 
-def _marks(contexts: DataFrame, length: int) -> DataFrame:
-    """a, c, start, end: what repeats around the anchor, for surroundings that occur once as a whole."""
-    contexts = contexts.select(*_CONTEXTS.names)
-    cold = contexts.where("NOT hot").select("a", "c", "n", "far", "near", "bytes")
+def _marks(cold: DataFrame, hot: DataFrame, length: int) -> DataFrame:
+    """a, c, start, end: what repeats around an anchor in surroundings of more than one kind."""
     dealt = cold.repartition("a").sortWithinPartitions("a").mapInArrow(_index(length), _MARKS)
-    windows = contexts.where("hot").select("a", "c", "far", "near", "bytes").mapInArrow(_window_hashes(length), _WINDOWS).distinct()
+    windows = hot.mapInArrow(_window_hashes(length), _WINDOWS).distinct()
     twice = windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2")
-    hot = lookup(windows, twice, ["w1", "w2"], "left_semi").groupBy("a", "c").agg(
+    split = lookup(windows, twice, ["w1", "w2"], "left_semi").groupBy("a", "c").agg(
         (-F.max("before")).cast("int").alias("start"), (F.lit(length) - F.min("before")).cast("int").alias("end"))
-    return dealt.unionByName(hot)
+    return dealt.unionByName(split)
 
 
 def remove_long_repeats(
@@ -367,14 +376,17 @@ def remove_long_repeats(
     whole = stored(whole)
     kinds = whole.groupBy("a").agg(F.count("*").alias("kinds")).where("kinds > 1")
     mixed = lookup(whole, kinds, ["a"], "inner")
-    wanted = mixed.groupBy(F.col("at.k1").alias("k1"), F.col("at.k2").alias("k2"), F.col("at.doc_id").alias("holder")).agg(F.collect_list(F.struct(
-        "a", "c", "n", (F.col("kinds") > HOT).alias("hot"), "far", "near", F.col("at.pos").alias("pos"))).alias("wanted"))
-
     packed = rows.mapInArrow(_squeeze, _PACKED)
-    once = lookup(packed, wanted, ["k1", "k2"], "inner").where(F.col("doc_id").eqNullSafe(F.col("holder")))
-    contexts = once.select("doc_id", "k1", "k2", "z", "wanted").mapInArrow(_cut_contexts(length), _CONTEXTS)
+
+    def contexts(chosen: DataFrame) -> DataFrame:
+        wanted = chosen.groupBy(F.col("at.k1").alias("k1"), F.col("at.k2").alias("k2"), F.col("at.doc_id").alias("holder")).agg(
+            F.collect_list(F.struct("a", "c", "far", "near", F.col("at.pos").alias("pos"))).alias("wanted"))
+        once = lookup(packed, wanted, ["k1", "k2"], "inner")
+        return once.select("doc_id", "k1", "k2", "z", "holder", "wanted").mapInArrow(_cut_contexts(length), _CONTEXTS)
+
+    marks = _marks(contexts(mixed.where(F.col("kinds") <= HOT)), contexts(mixed.where(F.col("kinds") > HOT)), length)
     full = whole.where("n > 1").select("a", "c", (-F.col("far")).cast("int").alias("start"), (F.lit(length) - F.col("near")).cast("int").alias("end"))
-    marks = full.unionByName(lookup(_marks(contexts, length), full.select("a", "c"), ["a", "c"], "left_anti"))
+    marks = full.unionByName(lookup(marks, full.select("a", "c"), ["a", "c"], "left_anti"))
 
     spans = lookup(maybe.select("a", "c", "k1", "k2", "pos"), marks, ["a", "c"], "inner").groupBy("k1", "k2").agg(
         F.collect_list(F.struct((F.col("pos") + F.col("start")).alias("start"), (F.col("pos") + F.col("end")).alias("end"))).alias("spans"))

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE = 4 << 20
+SLICE = 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _UNBASE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _SMALL = np.arange(256, dtype=np.uint64)
@@ -40,7 +40,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The hash base to the powers 0 to n, and its inverse."""
     if "up" not in _POWERS or len(_POWERS["up"]) <= n:
         for name, base in (("up", _BASE), ("down", _UNBASE)):
-            p = np.full(max(n + 1, SLICE + 1), base, dtype=np.uint64)
+            p = np.full(n + 1 + n // 4, base, dtype=np.uint64)
             p[0] = 1
             np.multiply.accumulate(p, out=p)
             _POWERS[name] = p
