@@ -79,14 +79,15 @@ def telling_terms(positive: list[np.ndarray], unlabelled: list[np.ndarray], size
     return np.sort(every[often[np.argsort(-z[often], kind="stable")][:size]])
 
 
-def fit(xp: np.ndarray, xu: np.ndarray, prior: float, steps: int = 600, rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+def fit(xp: np.ndarray, xu: np.ndarray, prior: float, steps: int = 300, rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise the non-negative risk, by Adam over all rows."""
     theta = np.zeros(xp.shape[1] + 1)
     theta[-1] = np.log(prior / (1 - prior))
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     xp, xu = (np.hstack([x, np.ones((len(x), 1), dtype=np.float32)]) for x in (xp, xu))
     for t in range(1, steps + 1):
-        zp, zu = xp @ theta, xu @ theta
+        single = theta.astype(np.float32)  # as the matrices, which would be converted in every step otherwise
+        zp, zu = xp @ single, xu @ single
         up, uu = 1 / (1 + np.exp(-zp)), 1 / (1 + np.exp(-zu))  # derivatives of the loss of calling a row negative
         negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
         pull_negative = xu.T @ uu / len(xu) - prior * (xp.T @ up) / len(xp)
