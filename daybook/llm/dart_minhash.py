@@ -27,9 +27,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.llm.components import components
+from daybook.llm.exact_dedup import filter_bits, repeated_slots, with_possible
 from daybook.llm.rows import hash_pair, id_order, stored, with_arrow_columns
 from daybook.llm.tokens import Words, mix, slices, text_buffers
-from daybook.operators.joins import lookup, matching
+from daybook.operators.joins import lookup
+from daybook.session import materialise
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -152,9 +154,18 @@ def with_signatures(df: DataFrame, text: str, weights: str = "distinct") -> Data
     return with_arrow_columns(df, _FIELDS, each)
 
 
+def _filtered(rows: DataFrame, of: DataFrame, column: str, least: int, per_row: int) -> DataFrame:
+    """The rows whose value probably occurs at least ``least`` times in ``of``, by a Bloom filter of bounded size; no other
+    value is missed, so a join behind it is as before but moves less."""
+    bits = filter_bits(of.count(), per_row)
+    slots = materialise(repeated_slots(of, bits, column, 1, least))
+    return with_possible(rows, slots, bits, column, 1).where("possible").drop("possible")
+
+
 def near_links(signed: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Checked links a, b between keys of texts; ``signed`` has key, bands and shingles, repeated keys allowed."""
-    members = signed.select("key", F.explode("bands").alias("band"))
+    every = signed.select("key", F.explode("bands").alias("band"))
+    members = _filtered(every, every.select("band"), "band", 2, per_row=8)
     place = F.struct(F.xxhash64("key", "band").alias("o"), F.col("key"))
     ends = members.groupBy("band").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
     pivots = ends.where("lo.key <> hi.key").select("band", F.array("lo.key", "hi.key").alias("pivots"))
@@ -162,7 +173,9 @@ def near_links(signed: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     pairs = stored(met.where("key <> pivot").select(
         F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct())
     ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    sets = matching(signed.select("key", "shingles"), ends, ["key"]).groupBy("key").agg(F.first("shingles").alias("s"))
+    # sets of texts in pairs; the few others that pass match nothing in the joins
+    linked = _filtered(signed.select("key", "shingles"), ends, "key", 1, per_row=64)
+    sets = linked.groupBy("key").agg(F.first("shingles").alias("s"))
     left = lookup(pairs, sets.select(F.col("key").alias("a"), F.col("s").alias("sa")), ["a"], "inner")
     both = lookup(left, sets.select(F.col("key").alias("b"), F.col("s").alias("sb")), ["b"], "inner")
     common = F.size(F.array_intersect("sa", "sb"))
@@ -208,8 +221,10 @@ def drop_near_copies(
     body = F.coalesce(F.col(text), F.lit(""))
     who = F.struct(F.col(doc_id).isNull().alias("n"), F.coalesce(F.col(doc_id), F.lit(0)).alias("i"),
                    F.struct(*hash_pair("k1", "k2", body)).alias("k"))
-    large = df.select(F.struct("*").alias("row"), who.alias("who"))
-    single = lookup(large, winners.where("copies = 1").select("who"), ["who"], "left_semi").select("row.*")
+    at = next(n for n in ("who" + "_" * i for i in range(len(df.columns) + 1)) if n not in df.columns)
+    large, winners = df.withColumn(at, who), winners.withColumnRenamed("who", at)
+    single = lookup(large, winners.where("copies = 1").select(at), [at], "left_semi").drop(at)
     # rows that agree in id and text: one of them
-    several = lookup(large, winners.where("copies > 1").select("who"), ["who"], "left_semi")
-    return single.unionByName(several.groupBy("who").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*"))
+    several = lookup(large, winners.where("copies > 1").select(at), [at], "left_semi")
+    row = F.struct(*df.columns)
+    return single.unionByName(several.groupBy(at).agg(F.min_by(row, F.xxhash64(row)).alias("row")).select("row.*"))

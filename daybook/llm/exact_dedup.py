@@ -42,10 +42,10 @@ def _slot(digest: Column, number: int, bits: int) -> Column:
     return F.pmod(F.xxhash64(digest, F.lit(number)), F.lit(bits)) + 1
 
 
-def repeated_slots(digests: DataFrame, bits: int, digest: str = "sha", slots: int = SLOTS) -> DataFrame:
-    """Pass one: bitmaps of the slots that were hit by at least two rows, one row per 32,768 slots."""
+def repeated_slots(digests: DataFrame, bits: int, digest: str = "sha", slots: int = SLOTS, least: int = 2) -> DataFrame:
+    """Pass one: bitmaps of the slots that were hit by at least two rows (or ``least``), one row per 32,768 slots."""
     hits = digests.select(F.explode(F.array(*[_slot(F.col(digest), i, bits) for i in range(slots)])).alias("slot"))
-    twice = hits.groupBy("slot").agg(F.count("*").alias("n")).where("n > 1")
+    twice = hits.groupBy("slot").agg(F.count("*").alias("n")).where(F.col("n") >= least)
     return twice.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
 

@@ -32,8 +32,9 @@ def documents(seed: int = 3) -> list[tuple[int | None, str | None]]:
 def frame(spark, rows=None):
     """The rows with columns beside id and text, some with names that results have too."""
     rows = documents() if rows is None else rows
-    full = [(d, t, "en", "src", len(t or ""), float(i), "k") for i, (d, t) in enumerate(rows)]
-    return spark.createDataFrame(full, "doc_id bigint, text string, lang string, source string, n_chars bigint, score double, key string")
+    full = [(d, t, "en", "src", len(t or ""), float(i), "k", "w", "s") for i, (d, t) in enumerate(rows)]
+    return spark.createDataFrame(full, "doc_id bigint, text string, lang string, source string, n_chars bigint, score double, "
+                                       "key string, who string, sha string")
 
 
 def empty(spark):

@@ -64,7 +64,7 @@ def test_scores(spark, sf_dir, name, columns):
 
 
 def _write(spark, tmp_path, rows):
-    cases.frame(spark, rows).drop("key").write.parquet(str(tmp_path / "documents.parquet"))
+    cases.frame(spark, rows).drop("key", "who", "sha").write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(1, cases.PASSAGE)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     return str(tmp_path)
 

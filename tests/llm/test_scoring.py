@@ -33,7 +33,7 @@ def test_contamination(spark, monkeypatch, block, passes):
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
     out = decontaminate.find_contamination(cases.frame(spark, docs), benchmark)
     assert tuples(out, *JUDGED) == ordered(brute.contamination(docs, items))
-    assert out.columns[:7] == cases.frame(spark).columns
+    assert out.columns[:9] == cases.frame(spark).columns
 
 
 def test_nothing_to_find(spark):
@@ -67,7 +67,7 @@ def test_language(spark, sf_dir):
     unseen = language_id.predict(docs, model).where(held_out(F.col("doc_id")))
     assert unseen.where("lang = lang_pred").count() >= 0.95 * unseen.count()
     odd = language_id.predict(cases.frame(spark), model)
-    assert odd.columns[:6] == ["doc_id", "text", "lang", "source", "n_chars", "key"]  # score is replaced
+    assert odd.columns[:8] == ["doc_id", "text", "lang", "source", "n_chars", "key", "who", "sha"]  # score is replaced
     und = {r.doc_id for r in odd.where("lang_pred = 'und'").collect()}
     assert und == {100, 101, 102, 112, None} and odd.where("lang_pred = 'und' AND score <> 0").count() == 0
     assert odd.where("score < 0 OR score > 1").count() == 0 and odd.count() == len(cases.documents())
