@@ -23,8 +23,8 @@ WIDTH = 3
 
 def line_windows(rows: DataFrame, width: int = WIDTH) -> DataFrame:
     """k1, k2, doc_id, start, w1, w2: one row per window of ``width`` lines that are not all blank."""
-    hashes = F.transform(F.split("text", "\n"), lambda line: F.struct(
-        *hash_pair("a", "b", normal_unit(line)), (F.trim(normal_unit(line)) == "").alias("blank")))
+    normal = F.transform(F.split("text", "\n"), normal_unit)
+    hashes = F.transform(normal, lambda line: F.struct(*hash_pair("a", "b", line), (line == "").alias("blank")))
     lines = rows.select("k1", "k2", "doc_id", hashes.alias("lines"))
     count = F.size("lines") - width + 1
 
