@@ -68,14 +68,16 @@ def _lineage_diff(spark, d):
 
 def _lineage_problems(spark, d):
     """Nations, suppliers and regions as what exists, suppliers as views over one table, a file that reads the regions."""
-    region = table(spark, d, "region").select(
-        F.concat(F.lit("gold."), F.replace(F.lower("r_name"), F.lit(" "), F.lit("_"))).alias("name"))
+    files = table(spark, d, "region").select(
+        F.concat(F.lit("gold."), F.replace(F.lower("r_name"), F.lit(" "), F.lit("_"))).alias("name"),
+        F.when(F.col("r_regionkey") >= 0, "nations.py").alias("path"))
+    region = files.select("name")
     nations = table(spark, d, "nation").select(F.concat(F.lit("nation:"), F.col("n_nationkey").cast("string")).alias("name"))
     suppliers = table(spark, d, "supplier").select(
         F.concat(F.lit("supplier:"), F.col("s_suppkey").cast("string")).alias("name"),
         F.lit("SELECT * FROM gold.supplies").alias("view_sql"))
     objects = region.unionByName(nations).withColumn("view_sql", F.lit(None).cast("string")).unionByName(suppliers)
-    texts = region.select(F.lit("nations.py").alias("path"), F.concat(F.lit("reads "), "name", F.lit(" and gold.none")).alias("text"))
+    texts = files.select("path", F.concat(F.lit("reads "), "name", F.lit(" and gold.none")).alias("text"))
     return lineage.lineage_records(lineage.lineage_problems(_nodes(spark, d), objects, texts), "catalog")
 
 

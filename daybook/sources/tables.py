@@ -24,8 +24,8 @@ def insert_if_absent(existing: DataFrame, incoming: DataFrame, keys: Sequence[st
 
 
 def absent(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Incoming rows, unique per key, whose key is not there yet: both sides meet in the
-    partitioning that made them unique."""
+    """Incoming rows whose key is not there yet. They should be unique per key: both sides then meet in the
+    partitioning that made them unique. Copies of a new key would all be kept."""
     return incoming.join(existing.select(*keys).distinct(), list(keys), "left_anti").select(*incoming.columns)
 
 
