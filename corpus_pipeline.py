@@ -8,6 +8,7 @@ checkpoint folder that all executors share, so a lost executor repeats part of o
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,11 +23,17 @@ def _as(docs: DataFrame, out: DataFrame) -> DataFrame:
     return out.select(*[f"`{c}`" for c in docs.columns])
 
 
+def _judged(docs: DataFrame, results: list[tuple], judge: Callable[[DataFrame], DataFrame], keep: str) -> DataFrame:
+    """The documents for which ``keep`` holds of what ``judge`` adds; own columns with a result's name step aside meanwhile."""
+    aside = {name: f"own {name}" for name, _ in results if name in docs.columns}
+    kept = judge(docs.withColumnsRenamed(aside)).where(keep).drop(*[name for name, _ in results])
+    return _as(docs, kept.withColumnsRenamed({held: name for name, held in aside.items()}))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a language was found; those without a letter go. Ambiguous ones stay."""
     model = language_id.train(docs.select("doc_id", "text", "lang"), teaches=~held_out(F.col("doc_id")))
-    found = language_id.predict(docs.select(F.struct("*").alias("row"), "text"), model)
-    return found.where(F.col("lang_pred") != language_id.UNKNOWN).select("row.*")
+    return _judged(docs, language_id.RESULTS, lambda d: language_id.predict(d, model), f"lang_pred <> '{language_id.UNKNOWN}'")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +48,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated with benchmark items."""
-    found = decontaminate.find_contamination(docs.select(F.struct("*").alias("row"), "text"), table(spark, sf_dir, "benchmark"))
-    return found.where(~F.col("contaminated")).select("row.*")
+    items = table(spark, sf_dir, "benchmark")
+    return _judged(docs, decontaminate.RESULTS, lambda d: decontaminate.find_contamination(d, items), "NOT contaminated")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
