@@ -113,6 +113,22 @@ def test_near_classes(spark):
     assert dart_minhash.near_classes(cases.empty(spark)).count() == 0 == dart_minhash.drop_near_copies(cases.empty(spark)).count()
 
 
+def test_many_copies_of_one_original_that_are_near_to_it_only(spark):
+    """Each copy is at about 0.86 to the original and at 0.75 to the others, so only the original links them."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(400)]
+    rows = [(0, " ".join(base))]
+    for copy in range(1, 301):
+        other = list(base)
+        for at in rng.sample(range(5, 395, 10), 6):
+            other[at] = f"c{copy}x{at}"
+        rows.append((copy, " ".join(other)))
+    want = brute.near_classes(rows)
+    assert {r[2] for r in want} == {301}
+    out = dart_minhash.near_classes(cases.frame(spark, rows))
+    assert tuples(out, "doc_id", "class_id", "class_size", "kept") == ordered(want)
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = np.random.default_rng(5)
     for _ in range(5):
