@@ -199,10 +199,13 @@ def _cut_contexts(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         columns: list[list] = [[], [], [], [], []]
+        last = None
         for b in batches:
-            for doc, holder, z, wanted in zip(b.column("doc_id"), b.column("holder"), b.column("z"), b.column("wanted")):
-                if doc != holder:
+            keys = zip(b.column("k1").to_pylist(), b.column("k2").to_pylist())
+            for key, doc, holder, z, wanted in zip(keys, b.column("doc_id"), b.column("holder"), b.column("z"), b.column("wanted")):
+                if doc != holder or key == last:  # rows that agree in id and text come one after the other
                     continue
+                last = key
                 text = unpack(z.as_py())
                 v = wanted.values
                 a, c, far, near, pos = (v.field(n).to_pylist() for n in ("a", "c", "far", "near", "pos"))
@@ -389,5 +392,6 @@ def remove_long_repeats(
     marks = full.unionByName(lookup(marks, full.select("a", "c"), ["a", "c"], "left_anti"))
 
     spans = lookup(maybe.select("a", "c", "k1", "k2", "pos"), marks, ["a", "c"], "inner").groupBy("k1", "k2").agg(
-        F.collect_list(F.struct((F.col("pos") + F.col("start")).alias("start"), (F.col("pos") + F.col("end")).alias("end"))).alias("spans"))
+        # a set, as all copies of a text have the same spans
+        F.collect_set(F.struct((F.col("pos") + F.col("start")).alias("start"), (F.col("pos") + F.col("end")).alias("end"))).alias("spans"))
     return lookup(packed, spans, ["k1", "k2"]).select("doc_id", "k1", "k2", "z", "spans").mapInArrow(_remove, _KEPT)

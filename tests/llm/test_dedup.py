@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -185,6 +186,21 @@ def test_long_repeats(spark, monkeypatch, hot):
     assert run_length_index.remove_long_repeats(cases.empty(spark)).count() == 0
 
 
+def test_the_spans_of_copies_are_gathered_once(spark, monkeypatch):
+    def counted(batches):
+        for b in batches:
+            n = [len(x or ()) for x in b.column("spans").to_pylist()]
+            yield pa.RecordBatch.from_arrays([
+                b.column("doc_id"), pa.array(n, pa.int64()), pa.array(n, pa.int64()), b.column("z"), pa.nulls(b.num_rows, spans)], names=names)
+
+    names, spans = run_length_index._KEPT.names, run_length_index._SPANS
+    monkeypatch.setattr(run_length_index, "_remove", counted)
+    text = "".join(random.Random(6).choice("abcdefgh ") for _ in range(400))
+    out = run_length_index.remove_long_repeats(cases.frame(spark, [(i, text) for i in range(300)] + [(None, text)] * 5))
+    sizes = [r.n_removed for r in out.collect()]
+    assert len(sizes) == 305 and 0 < max(sizes) <= len(text) - 199  # one text has no more starts than that
+
+
 def test_the_index_gives_the_longest_reach():
     """Starts before the anchor from which LENGTH bytes occur in another string of the group, by brute force."""
     rng = np.random.default_rng(2)
