@@ -31,9 +31,9 @@ def _judged(docs: DataFrame, results: list[tuple], judge: Callable[[DataFrame],
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language was found; those without a letter go. Ambiguous ones stay."""
+    """Documents with a letter; ambiguous ones stay, and so does every one where no row has a label to learn from."""
     model = language_id.train(docs.select("doc_id", "text", "lang"), teaches=~held_out(F.col("doc_id")))
-    return _judged(docs, language_id.RESULTS, lambda d: language_id.predict(d, model), f"lang_pred <> '{language_id.UNKNOWN}'")
+    return _judged(docs, language_id.RESULTS, lambda d: language_id.predict(d, model), "letter")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

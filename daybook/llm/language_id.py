@@ -36,7 +36,7 @@ SAMPLE_ROWS = 4_000
 ALL_SPLITS_UP_TO = 6
 AMBIGUOUS_BELOW = 0.6
 
-RESULTS = [("lang_pred", T.StringType()), ("score", T.DoubleType()), ("ambiguous", T.BooleanType())]
+RESULTS = [("lang_pred", T.StringType()), ("score", T.DoubleType()), ("ambiguous", T.BooleanType()), ("letter", T.BooleanType())]
 
 _LETTER = regex.compile(r"\p{L}")
 _ASCII_LETTER = np.zeros(256, dtype=bool)
@@ -167,7 +167,7 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", teaches: Column
 
 
 def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """``df`` with lang_pred, score (probability of that language among the learned ones) and ambiguous."""
+    """``df`` with lang_pred, score (probability of that language among the learned ones), ambiguous and letter (whether it has one)."""
     shared = df.sparkSession.sparkContext.broadcast(model)  # features x bits floats
 
     def each(batches: Iterator[pa.RecordBatch]):
@@ -175,13 +175,14 @@ def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame
         for b in batches:
             column = b.column(text)
             body, offsets = text_buffers(column)
-            names, scores = [], []
+            names, scores, letters = [], [], [np.zeros(0, dtype=bool)]
             for i, j in slices(offsets, _GRAM_SLICE):
                 # a slice of many short texts is cut further: its features are one dense row per text
                 for k in range(i, j, 256):
                     end = min(j, k + 256)
                     at = offsets[k: end + 1]
-                    known = has_letter(column.slice(k, end - k), body, at) & (model is not None)
+                    letters.append(has_letter(column.slice(k, end - k), body, at))
+                    known = letters[-1] & (model is not None)
                     if model is None:
                         best, score, langs = np.zeros(end - k, dtype=int), np.zeros(end - k), [UNKNOWN]
                     else:
@@ -189,6 +190,7 @@ def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame
                     names += [langs[n] if ok else UNKNOWN for n, ok in zip(best, known)]
                     scores.append(np.where(known, score, 0.0))
             score = np.concatenate(scores) if scores else np.zeros(0)
-            yield [pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(score < AMBIGUOUS_BELOW, pa.bool_())]
+            yield [pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(score < AMBIGUOUS_BELOW, pa.bool_()),
+                   pa.array(np.concatenate(letters), pa.bool_())]
 
     return with_arrow_columns(df, RESULTS, each)

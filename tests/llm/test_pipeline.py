@@ -112,3 +112,11 @@ def test_the_pipeline_query_on_the_given_tables(spark, sf_dir):
     near = {d for d, _, _, k in brute.near_classes([x for x in rows if x[0] not in copies]) if not k}
     assert kept == {d for d, _ in rows} - copies - near - bad or kept == {d for d, _ in rows} - copies - near - bad - {
         d for d, t in rows if not language_id._LETTER.search(t or "")}
+
+
+def test_without_labels_texts_with_a_letter_stay(spark):
+    rows = [(1, "some words", None, "s", 10, "x"), (2, "123 %%%", None, "s", 7, "x"), (3, "слово", None, "s", 5, "x"), (4, None, None, "s", 0, "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, letter string")
+    out = corpus_pipeline.language(spark, docs, "")
+    assert out.columns == docs.columns
+    assert sorted(r.doc_id for r in out.collect()) == [1, 3]
