@@ -7,8 +7,8 @@ left, both as shares of the limits, among those that fit. If none fits and only
 the best one is cut to fill the sequence.
 
 Each task packs the documents that it reads, so nothing shuffles and a lost task gives the same result
-again. Documents longer than a sequence are cut into full sequences first. What is left in a task's last, unfilled
-sequence is cut into sequences whose lengths are powers of two, which need no padding. Sequence ids
+again. Documents longer than a sequence are cut into full sequences first. A sequence that another limit closes before
+it is full of tokens, and a task's last one, are cut into sequences whose lengths are powers of two, which need no padding. Sequence ids
 are the task's number and a running one.
 
 Defined results: a NULL text is empty; an empty text is its end token alone. Rows are packed as they
@@ -123,7 +123,11 @@ class Packer:
             yield [head]
         self._put(piece)
         while not self.free:
-            yield self._fill()
+            sequence = self._fill()
+            if sum(len(p.ids) for p in sequence) < self.limits[0]:  # closed by another limit
+                yield from self._powers(sequence)
+            else:
+                yield sequence
 
     def _fill(self) -> list[Piece]:
         room, out = np.ones(3), []
@@ -146,23 +150,27 @@ class Packer:
             break
         return out
 
+    @staticmethod
+    def _powers(sequence: list[Piece]) -> Iterator[list[Piece]]:
+        """A sequence cut into ones of 2^k tokens."""
+        total = sum(len(p.ids) for p in sequence)
+        while total:
+            size = 1 << (total.bit_length() - 1)
+            taken, got = [], 0
+            while got < size:
+                piece = sequence.pop(0)
+                if got + len(piece.ids) > size:
+                    piece, rest = piece.cut(size - got)
+                    sequence.insert(0, rest)
+                taken.append(piece)
+                got += len(piece.ids)
+            total -= size
+            yield taken
+
     def finish(self) -> Iterator[list[Piece]]:
         """The rest: full sequences, then sequences of 2^k tokens."""
         while len(self):
-            sequence = self._fill()
-            total = sum(len(p.ids) for p in sequence)
-            while total:
-                size = 1 << (total.bit_length() - 1)
-                taken, got = [], 0
-                while got < size:
-                    piece = sequence.pop(0)
-                    if got + len(piece.ids) > size:
-                        piece, rest = piece.cut(size - got)
-                        sequence.insert(0, rest)
-                    taken.append(piece)
-                    got += len(piece.ids)
-                total -= size
-                yield taken
+            yield from self._powers(self._fill())
 
 
 SCHEMA = T.StructType([

@@ -184,3 +184,13 @@ def test_fast_ids_are_the_tokenizers_ids():
     texts = [t or "" for _, t in cases.documents()] + ["a  b", "tail ", " \n lead", "it's  'LL", "日本語 ١٢", "x y z", "<|endoftext|>"]
     for t in texts:
         assert both.ids(t).tolist() == both.full.encode(t, add_special_tokens=False).ids
+
+
+def test_sequences_that_the_segment_limit_closes_need_no_padding():
+    packer = packing.Packer()
+    pieces = [packing.Piece(i, 0, np.arange(5, dtype=np.uint32), 5) for i in range(3_000)]
+    made = [s for p in pieces for s in packer.add(p)]
+    assert made
+    made += packer.finish()
+    assert all(n & (n - 1) == 0 for n in (sum(len(p.ids) for p in s) for s in made))
+    assert sum(len(p.ids) for s in made for p in s) == 15_000 and max(map(len, made)) <= packing.LIMITS[1]
