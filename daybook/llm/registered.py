@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from daybook.llm import dart_minhash, decontaminate, exact_dedup, language_id, line_windows, packing, preference, run_length_index, substring_dedup, toxicity
+from daybook.llm import (
+    dart_minhash, decontaminate, exact_dedup, language_id, line_windows, packing, phrase_graph, preference, prefix_trie, run_length_index,
+    substring_dedup, toxicity, trie_join,
+)
 from daybook.llm.rows import held_out
 
 
@@ -86,6 +89,21 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_join.jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_graph.collocations(table(spark, sf_dir, "documents").select("lang", "text")).withColumnRenamed("grp", "lang")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation begins with some turns of the first one of its five; how many comes from a checksum of its id."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    five, length = F.col("conv_id") - F.col("conv_id") % 5, F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
+    return prefix_trie.prefix_nodes(prefix_trie.with_shared_heads(prefix_trie.turn_sequences(turns), five, length))
+
+
 QUERIES = {
     "op1_preference": op1_preference,
     "op2_repeated_lines": op2_repeated_lines,
@@ -97,8 +115,12 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_long_repeats": op9_long_repeats,
     "op10_packing": op10_packing,
+    "op11_jaccard_join": op11_jaccard_join,
+    "op12_collocations": op12_collocations,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
+_SMALL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _NORMAL = r"lower(trim(regexp_replace({}, '[\x20\x09-\x0D]+', ' ', 'g'), ' '))"
 
 ORACLES = {
@@ -189,4 +211,80 @@ WITH split AS (
 SELECT n.doc_id, CAST(count(*) AS INTEGER) AS n_lines, CAST(count(g.pos) AS INTEGER) AS n_removed,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY n.pos) FILTER (g.pos IS NULL), '')) AS kept_sha256
 FROM normal n LEFT JOIN gone g ON n.doc_id = g.doc_id AND n.pos = g.pos GROUP BY n.doc_id""",
+    "op11_jaccard_join": rf"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, list_filter(string_split_regex({_SMALL}, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE
+        list_distinct(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM split
+), shingles AS (
+    SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach(a, b) AS (
+    SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id
+FROM sets JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)""",
+    "op12_collocations": rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_SMALL}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), split AS (
+    SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces
+), grams AS (
+    SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+    FROM split, (SELECT unnest(range(1, 5)) AS k)
+), f AS (
+    SELECT lang, k, phrase, count(*) AS n FROM grams GROUP BY ALL
+), candidates AS (
+    SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND n >= 30
+), inside AS (
+    SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, max(a) AS most
+    FROM (SELECT *, unnest(range(1, k - size + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS size FROM candidates WHERE k > 2)) GROUP BY ALL
+), cuts AS (
+    SELECT c.lang, c.phrase, a, cut, l.n AS l, r.n AS r, (2000000::HUGEINT * a) // (l.n + r.n) AS score
+    FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) c
+    JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(w[1:cut], ' ')
+    JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(w[cut + 1:], ' ')
+), lowest AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank, b.phrase, a, l, r,
+       CAST(t.n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM lowest b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase
+JOIN (SELECT lang, sum(n) AS n FROM f WHERE k = 1 GROUP BY lang) t ON t.lang = b.lang
+WHERE most IS NULL OR 100::HUGEINT * most < 80::HUGEINT * a
+QUALIFY rank <= 2000""",
+    "op13_prefix_trie": r"""
+WITH said AS (
+    SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST, role, text) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), sized AS (
+    SELECT *, xor(4294967295, list_reduce([4294967295] || list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+        lambda crc, byte: list_reduce([xor(crc, byte)] || range(8), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END))) % 9 AS h
+    FROM said
+), rebuilt AS (
+    SELECT s.conv_id, coalesce(b.turns[1:s.h], []) || s.turns[s.h + 1:] AS path
+    FROM sized s LEFT JOIN said b ON b.conv_id = s.conv_id - s.conv_id % 5
+), members AS (
+    SELECT conv_id, path[1:d] AS prefix, d, len(path) = d AS ends FROM (SELECT *, unnest(range(len(path) + 1)) AS d FROM rebuilt)
+), nodes AS (
+    SELECT prefix, d, min(conv_id) AS conv_id, count(*) AS n,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+    FROM members GROUP BY prefix, d
+), children AS (
+    SELECT prefix[1:d - 1] AS prefix, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL
+), worth AS (
+    SELECT prefix, d, CASE WHEN d > 0 THEN (n - 1) * strlen(prefix[d].t) ELSE 0 END AS saved,
+           NOT EXISTS (SELECT 1 FROM children c WHERE c.prefix = nodes.prefix AND c.d = nodes.d) AS leaf
+    FROM nodes
+), totals AS (
+    SELECT prefix[1:j] AS prefix, j AS d, sum(saved) AS saved, sum(leaf::INT) AS leaves
+    FROM (SELECT *, unnest(range(d + 1)) AS j FROM worth) GROUP BY ALL
+)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n AS n_convs, coalesce(c.n, 0) AS n_children,
+       CAST(t.leaves AS BIGINT) AS n_leaves, CAST(t.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN totals t ON t.prefix = n.prefix AND t.d = n.d LEFT JOIN children c ON c.prefix = n.prefix AND c.d = n.d
+LEFT JOIN nodes p ON n.d > 0 AND p.d = n.d - 1 AND p.prefix = n.prefix[1:n.d - 1]""",
 }

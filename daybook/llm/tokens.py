@@ -33,6 +33,9 @@ _LOWER[65:91] += 32
 #: Bytes of words: digits, letters (in either case, as A-Z are lowered first) and all that is not ASCII.
 _IN_WORD = np.zeros(256, dtype=bool)
 _IN_WORD[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
+#: Bytes of words that only ASCII white space separates.
+NOT_SPACE = np.ones(256, dtype=bool)
+NOT_SPACE[[0x20, *range(0x09, 0x0E)]] = False
 _POWERS: dict[str, np.ndarray] = {}
 
 
@@ -87,14 +90,14 @@ def slices(offsets: np.ndarray, size: int = SLICE) -> Iterator[tuple[int, int]]:
 class Words:
     """The words of texts i to j: hash, start and end in the slice's bytes, and the number of the text."""
 
-    def __init__(self, body: np.ndarray, offsets: np.ndarray, i: int, j: int):
+    def __init__(self, body: np.ndarray, offsets: np.ndarray, i: int, j: int, in_word: np.ndarray = _IN_WORD):
         low, high = offsets[i], offsets[j]
         self.n_texts = j - i
         self.offsets = offsets[i: j + 1] - low
         self.bytes = part = _LOWER[body[low:high]]
         n = len(part)
         inside = np.zeros(n + 2, dtype=bool)
-        inside[1:-1] = _IN_WORD[part]
+        inside[1:-1] = in_word[part]
         first, last = inside[1:-1] & ~inside[:-2], inside[1:-1] & ~inside[2:]
         cut = self.offsets[1:-1]
         cut = cut[(cut > 0) & (cut < n)]
