@@ -10,6 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daybook.operators.dedupe import first_wins
+from daybook.operators.joins import lookup, unmatched
+from daybook.session import materialise
+from daybook.sources.tables import append, ensure_table
+
 
 def enrich(
     df: DataFrame, text: str | Sequence[str], keep: Sequence[str], fn: Callable[..., object] | None, result_type: T.DataType,
@@ -57,6 +62,43 @@ def enrich(
     return (rows.repartition(tasks) if tasks else rows).mapInPandas(run, schema)
 
 
+def call_digest(model: str, target: str, *arguments: Column) -> Column:
+    """What a call depends on, as one digest: the model, what it is asked for, and its arguments."""
+    parts = [p for a in (F.lit(model), F.lit(target), *arguments) for p in (a.isNull().cast("string"), F.coalesce(F.length(a.cast("string")), F.lit(0)).cast("string"), F.coalesce(a.cast("string"), F.lit("")))]
+    return F.sha2(F.concat_ws("|", *parts).cast("binary"), 256)
+
+
+def still_to_pay(rows: DataFrame, paid: DataFrame) -> DataFrame:
+    """One row per digest that has no stored result. Copies of a text shrink to one row before the join."""
+    return unmatched(first_wins(rows, ["digest"], [c for c in rows.columns if c != "digest"]), paid, ["digest"]).select(*rows.columns)
+
+
+def enrich_once(
+    df: DataFrame, text: str | Sequence[str], keep: Sequence[str], fn: Callable[..., object] | None, result_type: T.DataType,
+    model: str, table: str, target: str = "", tasks: int | None = None, whole_batch: bool = False,
+) -> DataFrame:
+    """:func:`enrich` where every call is paid once: results are stored in ``table`` under the digest of model, target and arguments.
+
+    A call that has a result there is not made again, in this run or a later one; arguments that several rows share are asked for once. A
+    failed call stores nothing, gives its error to all its rows, and is made again by the next run. Results are stored before they are used.
+    """
+    arguments = [text] if isinstance(text, str) else list(text)
+    spark = df.sparkSession
+    ensure_table(spark, table, T.StructType([
+        T.StructField("digest", T.StringType()), T.StructField("model", T.StringType()), T.StructField("target", T.StringType()),
+        T.StructField("result", result_type), T.StructField("paid_at", T.TimestampNTZType())]))
+    digest = call_digest(model, target, *[F.col(a) for a in arguments])
+    rows = materialise(df.select(*dict.fromkeys([*keep, *arguments]), digest.alias("digest")))
+    todo = still_to_pay(rows.select("digest", *arguments), spark.table(table))
+    made = materialise(enrich(todo, arguments, ["digest"], fn, result_type, tasks=tasks, whole_batch=whole_batch))
+    append(succeeded(made).select(
+        "digest", F.lit(model).alias("model"), F.lit(target).alias("target"), "result",
+        F.to_timestamp_ntz(F.current_timestamp()).alias("paid_at")), table)
+    stored = first_wins(spark.table(table).select("digest", "result", "paid_at"), ["digest"], ["paid_at"]).select("digest", "result")
+    failed = made.where(F.col("error").isNotNull()).select("digest", "error")
+    return lookup(lookup(rows, stored, ["digest"]), failed, ["digest"]).select(*keep, "result", "error")
+
+
 def succeeded(enriched: DataFrame) -> DataFrame:
     return enriched.where(F.col("error").isNull()).drop("error")
 

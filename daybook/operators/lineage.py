@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions.text import all_matches
 from daybook.operators.joins import lookup, matching, unmatched
+from daybook.session import materialise
 
 # Fixed value: how a table is named in SQL and code.
 TABLE_REFERENCE = r"\b(?:bronze|silver|gold)\.[a-z_]+\b"
@@ -125,3 +126,23 @@ def lineage_records(problems: DataFrame, step: str) -> DataFrame:
         F.lit(step).alias("step"), F.lit("lineage").alias("check_name"), F.lit("lineage").alias("target"),
         F.when(found, "fail").otherwise("pass").alias("status"),
         F.coalesce("problem", F.lit("lineage matches the warehouse, view SQL and code")).alias("detail"))
+
+
+def reach(edges: DataFrame, starts: DataFrame, most_hops: int | None = None) -> DataFrame:
+    """(start, node, hops): every node that each start leads to over any number of edges, by the fewest of them.
+
+    ``starts`` has ``node``; a start reaches itself in 0 hops. Round by round the nodes found last are joined to the edges, and
+    those that a start has reached before drop out, so circles end. Rounds are as many as the longest of the shortest ways; each is
+    stored, so a lost executor repeats one round. Names that are no node reach only themselves.
+    """
+    hops = edges.where("upstream IS NOT NULL AND downstream IS NOT NULL").select(F.col("upstream").alias("node"), "downstream").distinct()
+    last = materialise(starts.where("node IS NOT NULL").select(F.col("node").alias("start"), "node", F.lit(0).alias("hops")).distinct())
+    found, rounds = last, 0
+    while most_hops is None or rounds < most_hops:
+        rounds += 1
+        ahead = last.join(hops, "node").select("start", F.col("downstream").alias("node"), F.lit(rounds).alias("hops")).distinct()
+        last = materialise(ahead.join(found.select("start", "node"), ["start", "node"], "left_anti").select("start", "node", "hops"))
+        if last.isEmpty():
+            break
+        found = found.unionByName(last)
+    return found

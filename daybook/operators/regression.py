@@ -31,6 +31,53 @@ def moments(y: str, x: tuple[str, str, str], over: WindowSpec | None = None) ->
     return {k: F.expr(v) if over is None else F.expr(v).over(over) for k, v in out.items()}
 
 
+_PAIRS = [(a, b) for a, b in combinations_with_replacement((*FEATURES, "y"), 2) if (a, b) != ("y", "y")]
+
+
+def shifted_sums(y: str, x: tuple[str, str, str], shift: Column) -> dict[str, Column]:
+    """What one row adds to count, sums and sums of products, the first feature and the target taken from ``shift``.
+
+    Sums can be added in any grouping; near the middle of the values they keep their precision.
+    """
+    present = F.lit(True)
+    for c in (y, *x):
+        present = present & F.col(c).isNotNull()
+    value = {name: F.when(present, F.col(c) - shift if name in ("x1", "y") else F.col(c)) for name, c in zip((*FEATURES, "y"), (*x, y))}
+    return {"s_n": F.when(present, 1.0), **{f"s_{name}": v for name, v in value.items()},
+            **{f"s_{a}_{b}": value[a] * value[b] for a, b in _PAIRS}}
+
+
+def moments_of_sums(shift: Column) -> dict[str, Column]:
+    """The moment columns from the columns of :func:`shifted_sums`, added up."""
+    n = F.nullif("s_n", F.lit(0.0))
+    out = {"n": F.col("s_n").cast("long")}
+    out |= {f"m_{name}": F.col(f"s_{name}") / n + (shift if name in ("x1", "y") else F.lit(0.0)) for name in (*FEATURES, "y")}
+    for a, b in _PAIRS:
+        square, cross = F.col(f"s_{a}_{b}") / n, F.col(f"s_{a}") * F.col(f"s_{b}") / (n * n)
+        noise = F.abs(square - cross) <= 1e-13 * F.abs(square)  # rounding of a constant away from the shift
+        out[f"c_{a}_{b}"] = F.when(noise, 0.0).otherwise(square - cross)
+    return out
+
+
+def merged_moments(one: str, other: str) -> dict[str, Column]:
+    """The moments of two sets of rows together, from the struct columns ``one`` and ``other``; either may be NULL or of no row."""
+    n1, n2 = (F.coalesce(F.col(f"{side}.n"), F.lit(0)) for side in (one, other))
+    n = n1 + n2
+
+    def both(name: str, joint: Column) -> Column:
+        return F.when(n1 == 0, F.col(f"{other}.{name}")).when(n2 == 0, F.col(f"{one}.{name}")).otherwise(joint)
+
+    gap = {name: F.col(f"{other}.m_{name}") - F.col(f"{one}.m_{name}") for name in (*FEATURES, "y")}
+    out = {"n": n.cast("long")}
+    out |= {f"m_{name}": both(f"m_{name}", F.col(f"{one}.m_{name}") + gap[name] * n2 / n) for name in (*FEATURES, "y")}
+    out |= {
+        f"c_{a}_{b}": both(f"c_{a}_{b}", (
+            F.col(f"{one}.c_{a}_{b}") * n1 + F.col(f"{other}.c_{a}_{b}") * n2 + gap[a] * gap[b] * n1 * n2 / n) / n)
+        for a, b in _PAIRS
+    }
+    return out
+
+
 def _cov(a: str, b: str) -> str:
     return f"c_{min(a, b)}_{max(a, b)}"
 

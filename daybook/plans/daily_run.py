@@ -4,7 +4,7 @@ Raw tables only grow: every source lands once per version, under the number of i
 refresh merges the landings that came after the last one merged into the days they touch and
 summarises those days again; the mark moves only when both tables are written, so what a failed
 or broken run left over is merged by the next one. ``rebuild`` derives the same tables from all raw rows.
-Forecasts replace only the days they are made for.
+Forecasts come from stored fits, to which a run adds its days, and replace only the days they are made for.
 """
 
 from __future__ import annotations
@@ -21,15 +21,17 @@ from daybook.operators.quality import (
     Check, fresh, group_count_record, group_counts, no_nulls, non_negative, not_empty, value_range,
 )
 from daybook.operators.rollup import Measure, daily_rollup
-from daybook.plans.forecast import next_day_forecast, settled_history, skipped_keys, walk_forward
+from daybook.plans.fit_state import advance, fit_state
+from daybook.plans.forecast import next_day_forecast, settled_history, skipped_keys, state_forecast, walk_forward
 from daybook.plans.gates import MAX_STALENESS_HOURS, Gate, RunLog, run_gates, warning
 from daybook.schemas import MERGED, RAW_PAYLOADS, forecast_schema
 from daybook.session import materialise
 from daybook.sources.json_payload import unpack_payloads
-from daybook.sources.landing import land_raw, not_landed, read_payload_files
+from daybook.sources.landing import land_raw, list_files, new_payloads, new_versions
 from daybook.sources.tables import absent, append, ensure_table, publish, replace_partitions
 
 RAW, CLEAN, DAILY, FORECAST = "bronze.raw_payloads", "silver.hourly", "gold.daily_summary", "gold.forecast"
+FITS = "gold.fit_state"
 MARKS = "ops.merged"
 
 
@@ -70,13 +72,14 @@ def _last_landing(spark: SparkSession) -> int:
 def land(
     spark: SparkSession, path: str, config: DailyConfig, landed_at: datetime, since: str | None = None, until: str | None = None,
 ) -> int:
-    """Append the files that have not landed in their present version; returns the number of the landing."""
+    """Append the files that have not landed in their present version; returns the number of the landing. No other file is opened."""
     ensure_table(spark, RAW, RAW_PAYLOADS, partition_by=["landed_on", "landing"])
     number = _last_landing(spark) + 1
     key: Column = F.regexp_extract("source_url", config.key_of_file, 1)
-    files = read_payload_files(spark, path, key, since, until)
-    new = land_raw(not_landed(spark.table(RAW), files), "key", "source_url", "raw_json", F.col("fetched_at"))
-    new.withColumns({"landed_on": F.lit(landed_at.date()), "landing": F.lit(number).cast("long")}).write.insertInto(RAW)
+    new = materialise(new_versions(spark.table(RAW), list_files(spark, path, since, until)))
+    for payloads in new_payloads(spark, new, key):
+        rows = land_raw(payloads, "key", "source_url", "raw_json", F.col("fetched_at"))
+        rows.withColumns({"landed_on": F.lit(landed_at.date()), "landing": F.lit(number).cast("long")}).write.insertInto(RAW)
     return number
 
 
@@ -138,7 +141,33 @@ def refresh(spark: SparkSession, config: DailyConfig) -> list[date] | None:
     return days
 
 
+def _fitted_to(spark: SparkSession) -> tuple[date, int] | None:
+    """The day that the stored fits go to, and the last landing that was merged when they were made."""
+    if not spark.catalog.tableExists(FITS):
+        return None
+    known = spark.table(FITS).select("as_of", "landing").limit(1).collect()
+    return (known[0].as_of, known[0].landing) if known else None
+
+
+def refit(spark: SparkSession, config: DailyConfig, as_of: str, merged_before: int, days: list[date] | None) -> None:
+    """Bring the stored fits up to ``as_of``: the days after those they know are added, history is not read.
+
+    Fits are made from whole history where there are none, where they missed a landing, where a day that they know has changed, or
+    where they know more than ``as_of`` allows. ``merged_before`` and ``days`` tell what the refresh before has merged.
+    """
+    known, limit = _fitted_to(spark), date.fromisoformat(as_of)
+    unchanged = known is not None and known[1] == merged_before and known[0] <= limit and days is not None and all(d > known[0] for d in days)
+    history = settled_history(spark.table(DAILY), as_of, config.metrics)
+    if unchanged:
+        stored = spark.table(FITS).drop("as_of", "landing")
+        state = advance(stored, history.where(F.col("date") > F.lit(known[0])), config.metrics)
+    else:
+        state = fit_state(history, config.metrics)
+    publish(state.withColumns({"as_of": F.lit(limit), "landing": F.lit(_merged(spark)).cast("long")}), FITS)
+
+
 def forecast(spark: SparkSession, config: DailyConfig, as_of: str) -> DataFrame:
+    """From whole history; a run takes the stored fits."""
     history = settled_history(spark.table(DAILY), as_of, config.metrics)
     return next_day_forecast(history, config.metrics, config.non_negative)
 
@@ -179,6 +208,7 @@ def steps(
     else:
         log.record(group_count_record(group_counts(landed, "key", config.keys), "bronze", RAW, 1))
 
+    merged_before = _merged(spark)
     days = refresh(spark, config)
     if days is None or days:
         log.record(run_gates({CLEAN: _of_days(spark.table(CLEAN), days)}, [Gate("silver", CLEAN, config.clean_gate())]))
@@ -187,7 +217,8 @@ def steps(
     log.record(group_count_record(today, "gold", DAILY, 1))
 
     ensure_table(spark, FORECAST, forecast_schema(config.metrics), partition_by=["target_date"])
-    made = materialise(forecast(spark, config, as_of))  # one row per key
+    refit(spark, config, as_of, merged_before, days)
+    made = materialise(state_forecast(spark.table(FITS), config.metrics, config.non_negative))  # one row per key
     if made.isEmpty():
         log.record(warning(spark, "forecast", "forecast_produced", FORECAST, "not enough settled history for any key"))
     else:

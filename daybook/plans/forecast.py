@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 from daybook.functions.dates import season
 from daybook.functions.scoring import clip_at_zero, rounded
 from daybook.operators import regression
+from daybook.operators.blocked import BLOCK, lagged, running_sums
 from daybook.operators.dedupe import first_wins
 from daybook.operators.features import add_season, by_day
+from daybook.operators.joins import lookup
 
 MODEL_TYPE = "linear_regression_v1"
 MIN_TRAINING_ROWS = 10
@@ -60,21 +62,25 @@ def _wide(points: DataFrame, metrics: Sequence[str], non_negative: Sequence[str]
     )
 
 
-def _fit(rows: DataFrame, groups: Sequence[str]) -> DataFrame:
-    """One row per group: moments, slopes, intercept and the last day; NULL slopes below the minimum."""
+def reduced(rows: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """One row per group: moments and the last day, all that a fit and the next forecast need."""
     agg = regression.moments("y", FEATURES)
-    fitted = rows.groupBy(*groups).agg(
+    return rows.groupBy(*groups).agg(
         *[c.alias(k) for k, c in agg.items()],
         F.max("date").alias("last_date"), F.max_by("y", "date").alias("last_y"),
     )
+
+
+def fitted(state: DataFrame) -> DataFrame:
+    """The moments with slopes and intercept; NULL slopes below the minimum."""
     enough = F.col("n") >= MIN_TRAINING_ROWS
-    fitted = fitted.withColumns({k: F.when(enough, b) for k, b in regression.coefficients().items()})
-    return fitted.withColumn("intercept", regression.intercept())
+    sloped = state.withColumns({k: F.when(enough, b) for k, b in regression.coefficients().items()})
+    return sloped.withColumn("intercept", regression.intercept())
 
 
 def fit_per_key(history: DataFrame, metrics: Sequence[str]) -> DataFrame:
     """One fit per key and metric on its whole history."""
-    return _fit(_long(history, metrics), ["key", "metric"])
+    return fitted(reduced(_long(history, metrics), ["key", "metric"]))
 
 
 def _next_day(fitted: DataFrame) -> DataFrame:
@@ -84,15 +90,41 @@ def _next_day(fitted: DataFrame) -> DataFrame:
     return fitted.withColumns({"target_date": target, "yhat": regression.predicted((F.col("last_y"), sin, cos))})
 
 
+def state_forecast(state: DataFrame, metrics: Sequence[str], non_negative: Sequence[str] = ()) -> DataFrame:
+    """The day after the last one of each key, from stored moments."""
+    return _wide(_next_day(fitted(state)), metrics, non_negative, is_backtest=False)
+
+
 def next_day_forecast(history: DataFrame, metrics: Sequence[str], non_negative: Sequence[str] = ()) -> DataFrame:
     return _wide(_next_day(fit_per_key(history, metrics)), metrics, non_negative, is_backtest=False)
 
 
-def walk_forward(history: DataFrame, metrics: Sequence[str], non_negative: Sequence[str] = ()) -> DataFrame:
-    """For every day, the prediction of a model fitted on the earlier days only."""
-    before = by_day("key", "metric").rowsBetween(Window.unboundedPreceding, -1)
-    rows = _long(history, metrics)
-    rows = rows.withColumns(regression.moments("y", FEATURES, over=before))
+def _moments_by_block(history: DataFrame, metrics: Sequence[str], block: Column) -> DataFrame:
+    """The rows of :func:`_long` with the moments of all rows before, made per key, metric and block of days."""
+    keys, order = ["key", "metric"], ["date"]
+    pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("y")) for m in metrics])
+    rows = history.select("key", "date", block.alias(BLOCK), F.inline(pairs))
+    rows = add_season(lagged(rows, keys, order, "y", "lag_1"))
+    middle = rows.groupBy(*keys).agg(F.coalesce(F.avg("y"), F.lit(0.0)).alias("_middle"))
+    rows = lookup(rows, middle, keys)
+    sums = regression.shifted_sums("y", FEATURES, F.col("_middle"))
+    return running_sums(rows, keys, order, sums).withColumns(regression.moments_of_sums(F.col("_middle"))).drop(BLOCK, "_middle", *sums)
+
+
+def walk_forward(
+    history: DataFrame, metrics: Sequence[str], non_negative: Sequence[str] = (), block: Column | None = None,
+) -> DataFrame:
+    """For every day, the prediction of a model fitted on the earlier days only.
+
+    One task works on a key. For series too long for that, ``block`` names the stretch of a row, a column that never falls with
+    the date: tasks then work on stretches, and moments are carried from one to the next.
+    """
+    if block is None:
+        before = by_day("key", "metric").rowsBetween(Window.unboundedPreceding, -1)
+        rows = _long(history, metrics)
+        rows = rows.withColumns(regression.moments("y", FEATURES, over=before))
+    else:
+        rows = _moments_by_block(history, metrics, block)
     rows = rows.where(F.col("n") >= MIN_TRAINING_ROWS)
     rows = rows.withColumns(regression.coefficients())
     points = rows.withColumns({"target_date": F.col("date"), "yhat": regression.predicted(tuple(F.col(c) for c in FEATURES))})

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from daybook.functions.text import is_verbatim, labelled
 from daybook.operators.daily_pick import daily_pick, incremental_todo
-from daybook.operators.enrich import enrich, failures, succeeded
+from daybook.operators.enrich import enrich_once, failures, succeeded
 from daybook.operators.quality import Check, evidence_verified, fresh, not_empty, value_range
 from daybook.operators.sections import split_sections
 from daybook.plans.gates import MAX_EXTRACTION_LAG_HOURS, Gate
@@ -24,6 +24,8 @@ from daybook.session import materialise
 from daybook.sources.tables import append, ensure_table, replace_partitions
 
 SECTION_TABLE, EXTRACTION_TABLE = "silver.sections", "silver.extractions"
+#: Results of calls by what they depend on, so that none is paid twice.
+PAID_EXTRACTIONS, PAID_VECTORS = "ops.paid_extractions", "ops.paid_vectors"
 
 # The record of a weather text, and the ranges in which its numbers are believable.
 WEATHER_RECORD = T.StructType([
@@ -67,7 +69,7 @@ def run(
 
     ``documents`` is the raw table. ``extract`` and ``embed`` are the caller's functions, ``models`` their
     names, ``record`` what ``extract`` returns (it must have ``evidence``). Calls cost money, so their
-    results are stored before use. ``tasks`` bounds the calls at a time; the session's parallelism otherwise.
+    results are stored before use, and a call with the same arguments is not made again. ``tasks`` bounds the calls at a time; the session's parallelism otherwise.
     """
     ensure_tables(spark, record)
     tasks = tasks or spark.sparkContext.defaultParallelism
@@ -76,13 +78,15 @@ def run(
     todo = todo.withColumn("text", F.get_json_object("raw_json", f"$.{text_field}"))
 
     day = ["doc_id", "issued_at", "run_date", "target_date"]
-    extracted = materialise(enrich(todo, ["text", "target_date", "issued_at"], [*day, "text"], extract, record, tasks=tasks))
+    extracted = materialise(enrich_once(
+        todo, ["text", "target_date", "issued_at"], [*day, "text"], extract, record, models[0], PAID_EXTRACTIONS, tasks=tasks))
     read = succeeded(extracted)
 
     parts = split_sections(read, "text", day)
     parts = parts.withColumn("label", labelled(F.col("section_name"), F.col("content")))
     columns = [*day, "section_index", "section_name", "content"]
-    embedded = materialise(enrich(parts, "label", columns, embed, T.ArrayType(T.FloatType()), tasks=tasks, whole_batch=True))
+    embedded = materialise(enrich_once(
+        parts, "label", columns, embed, T.ArrayType(T.FloatType()), models[1], PAID_VECTORS, tasks=tasks, whole_batch=True))
 
     # A document counts as done only when all of its sections worked.
     broken = embedded.where(F.col("error").isNotNull()).select("doc_id").distinct()

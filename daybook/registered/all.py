@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from daybook.registered import catalog, forecasting, metrics, quality, series, text
+from daybook.registered import catalog, forecasting, incremental, metrics, quality, series, text
 
-MODULES = (series, forecasting, text, metrics, quality, catalog)
+MODULES = (series, forecasting, text, metrics, quality, catalog, incremental)
 
 
 def queries() -> dict:

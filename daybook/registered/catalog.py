@@ -55,6 +55,20 @@ neighbours AS (
     UNION SELECT upstream, 'downstream', downstream FROM edges)"""
 
 
+def graph(spark, d):
+    """The declared edges and, from every tenth supplier, one back to a region."""
+    back = table(spark, d, "supplier").where("s_suppkey % 10 = 0").select(
+        F.concat(F.lit("supplier:"), F.col("s_suppkey").cast("string")).alias("upstream"),
+        F.concat(F.lit("region:"), (F.col("s_suppkey") % 5).cast("string")).alias("downstream"))
+    return lineage.declared_edges(_nodes(spark, d)).select("upstream", "downstream").unionByName(back)
+
+
+GRAPH_SQL = f"""{NODES},
+graph AS (
+    SELECT upstream, downstream FROM edges
+    UNION ALL SELECT 'supplier:' || s_suppkey, 'region:' || s_suppkey % 5 FROM supplier WHERE s_suppkey % 10 = 0)"""
+
+
 def _lineage_edges(spark, d):
     nodes = _nodes(spark, d)
     return lineage.lineage_edges(lineage.declared_edges(nodes), nodes)
@@ -146,7 +160,7 @@ def _pages(spark, d):
         F.concat(links, paragraphs).alias("columns"))
 
 
-def _docs(spark, d):
+def docs_as_assets(spark, d):
     none = F.array().cast("array<struct<name:string,description:string>>")
     return table(spark, d, "documents").select(
         F.col("doc_id").alias("id"), F.col("source").alias("name"), F.lit("Document").alias("kind"),
@@ -169,7 +183,7 @@ def _search_top(spark, d):
 
 
 def _browse(spark, d):
-    everything = search.search(_docs(spark, d), "the of", GLOSSARY)
+    everything = search.search(docs_as_assets(spark, d), "the of", GLOSSARY)
     order = ("fr", "en", "de")
     return search.ranked(everything, order).select("id", "name", search.layer_rank(F.col("layer"), order).alias("layer_rank"))
 
@@ -193,7 +207,7 @@ QUERIES = {
     "asset_index": _asset_index,
     "asset_index_tables": _asset_rows,
     "keyword_search": lambda s, d: _shown(search.ranked(_found(s, d))),
-    "keyword_search_documents": lambda s, d: _shown(search.search(_docs(s, d), DOC_QUERY, GLOSSARY)).drop("matched_columns"),
+    "keyword_search_documents": lambda s, d: _shown(search.search(docs_as_assets(s, d), DOC_QUERY, GLOSSARY)).drop("matched_columns"),
     "search_facets": lambda s, d: search.facets(_found(s, d)),
     "search_top": _search_top,
     "browse_order": _browse,

@@ -143,27 +143,27 @@ def walk_forward_sql(history: str, metrics: list[str], non_negative: list[str])
     return _wide_sql(points, metrics, non_negative, True)
 
 
-def _event_history(day: str) -> str:
+def event_history(day: str) -> str:
     return f"(SELECT * FROM daily WHERE date <= DATE '{day}')"
 
 
 _LINE_HISTORY = f"(SELECT * FROM daily WHERE date <= DATE '{LINES_AS_OF}')"
 _LIVE = " UNION ALL ".join(
-    f"SELECT * FROM ({next_day_sql(_event_history(day), EVENT_METRICS, EVENT_NON_NEGATIVE)})" for day in LIVE_DAYS)
+    f"SELECT * FROM ({next_day_sql(event_history(day), EVENT_METRICS, EVENT_NON_NEGATIVE)})" for day in LIVE_DAYS)
 
 FORECASTS = f"""{EVENTS_DAILY},
 live AS ({_LIVE}),
-backtest AS ({walk_forward_sql(_event_history(AS_OF), EVENT_METRICS, EVENT_NON_NEGATIVE)}),
+backtest AS ({walk_forward_sql(event_history(AS_OF), EVENT_METRICS, EVENT_NON_NEGATIVE)}),
 forecasts AS (
     SELECT * FROM live UNION ALL
     SELECT * FROM backtest b WHERE NOT EXISTS (
         SELECT 1 FROM live l WHERE l.key = b.key AND l.target_date = b.target_date)
 ),
+settled AS (
+    SELECT key, date AS target_date, COLUMNS(* EXCLUDE (key, date)) AS "actual_\\0" FROM daily WHERE date < DATE '{AS_OF}'
+),
 evaluation AS (
-    SELECT f.key, f.target_date, f.is_backtest, f.model_type,
-           {', '.join(f'f.predicted_{m}, g.{m} AS actual_{m}' for m in EVENT_METRICS)}
-    FROM forecasts f JOIN daily g ON f.key = g.key AND f.target_date = g.date
-    WHERE f.target_date < DATE '{AS_OF}'
+    SELECT * EXCLUDE (training_rows) FROM settled JOIN forecasts USING (key, target_date)
 )"""
 
 _ERRORS = " UNION ALL ".join(
@@ -177,10 +177,10 @@ ORACLES = {
                ROUND(b1, 4) + 0.0 AS b1, ROUND(b2, 4) + 0.0 AS b2, ROUND(b3, 4) + 0.0 AS b3
         FROM ({_fit_sql(_LINE_HISTORY, LINE_METRICS)})""",
     "next_day_forecast": f"""
-        WITH {EVENTS_DAILY} {next_day_sql(_event_history(LIVE_DAYS[-1]), EVENT_METRICS, EVENT_NON_NEGATIVE)}""",
+        WITH {EVENTS_DAILY} {next_day_sql(event_history(LIVE_DAYS[-1]), EVENT_METRICS, EVENT_NON_NEGATIVE)}""",
     "next_day_forecast_lineitem": f"WITH {LINES_DAILY} {next_day_sql(_LINE_HISTORY, LINE_METRICS, LINE_NON_NEGATIVE)}",
     "walk_forward": f"""
-        WITH {EVENTS_DAILY} {walk_forward_sql(_event_history(AS_OF), EVENT_METRICS, EVENT_NON_NEGATIVE)}""",
+        WITH {EVENTS_DAILY} {walk_forward_sql(event_history(AS_OF), EVENT_METRICS, EVENT_NON_NEGATIVE)}""",
     "walk_forward_lineitem": f"WITH {LINES_DAILY} {walk_forward_sql(_LINE_HISTORY, LINE_METRICS, LINE_NON_NEGATIVE)}",
     "forecast_evaluation": f"WITH {FORECASTS} SELECT * FROM evaluation",
     "prefer_live": f"""

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from daybook.operators.joins import unmatched
+from daybook.session import materialise
 
 
 def scoped_replace(old: DataFrame, new: DataFrame, scope: Sequence[str]) -> DataFrame:
@@ -43,12 +44,47 @@ def append(df: DataFrame, name: str) -> None:
     df.write.mode("append").format("parquet").saveAsTable(name)
 
 
+def _settle(spark: SparkSession, name: str) -> None:
+    """Finish or undo the switch of :func:`publish` where a crash came between its steps. A table named ``__next``
+    exists only once it is whole, as Spark enters a table after its files are written."""
+    exists, old, new = spark.catalog.tableExists(name), f"{name}__old", f"{name}__next"
+    if not exists and spark.catalog.tableExists(old):
+        complete = new if spark.catalog.tableExists(new) else old
+        spark.sql(f"ALTER TABLE {complete} RENAME TO {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+
+
 def publish(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
-    """Full refresh. The query must not read the table it replaces."""
+    """Full refresh in which readers and a failed run keep the old version until the new one is whole. The query may read the table.
+
+    A table without partitions is written beside the old one and takes its name. Of one with partitions, the partitions are
+    swapped by the one commit at the end of the write, and those that the new version lacks are dropped after it.
+    """
+    spark = df.sparkSession
     database = name.rpartition(".")[0]
     if database:
-        df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    df.write.mode("overwrite").format("parquet").partitionBy(*partition_by).saveAsTable(name)
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    _settle(spark, name)
+    if not spark.catalog.tableExists(name):
+        df.write.format("parquet").partitionBy(*partition_by).saveAsTable(name)
+    elif partition_by and set(spark.table(name).columns) == set(df.columns):
+        rows = materialise(df)
+        replace_partitions(rows, name)
+        gone = spark.table(name).select(*partition_by).distinct().subtract(rows.select(*partition_by).distinct())
+        for row in gone.toLocalIterator():  # as many as there are partitions
+            which = ", ".join(f"{c} = {_partition_value(row[c])}" for c in partition_by)
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({which})")
+    else:
+        df.write.mode("overwrite").format("parquet").partitionBy(*partition_by).saveAsTable(f"{name}__next")
+        spark.sql(f"ALTER TABLE {name} RENAME TO {name}__old")
+        spark.sql(f"ALTER TABLE {name}__next RENAME TO {name}")
+        spark.sql(f"DROP TABLE IF EXISTS {name}__old")
+
+
+def _partition_value(value: object) -> str:
+    if value is None:
+        return "NULL"
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def publish_view(spark: SparkSession, name: str, query: str, description: str = "") -> None:
