@@ -37,7 +37,7 @@ ABSORBS = 80
 SCORE_UNITS = 2_000_000
 PAIR_SLOTS = 1 << 26
 #: Bytes of texts whose edges are counted together before they leave a task, and pairs whose slots are.
-SLICE, PAIRS_AT_ONCE = 1 << 22, 1 << 22
+SLICE, PAIRS_AT_ONCE = 1 << 20, 1 << 21
 WORDS = ("w1", "w2", "w3", "w4")
 
 _BREAK, _GAP = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
