@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
@@ -130,3 +130,76 @@ def long_repeats(docs, length=200):
 
 def held_out(doc_id) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 4 == 2
+
+
+def small(text: str | None) -> str:
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+def jaccard_components(docs, size=5):
+    """(doc_id, n_shingles, component_id) by comparing all pairs."""
+    sets = []
+    for _, t in docs:
+        w = re.findall(r"[^\x20\x09-\x0D]+", small(t))
+        sets.append({tuple(w[i: i + size]) for i in range(max(1, len(w) - size + 1))} if w else set())
+    root = list(range(len(docs)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and 100 * len(a & sets[j]) >= 80 * len(a | sets[j]):
+                root[find(i)] = find(j)
+    ids = defaultdict(list)
+    for i, (d, _) in enumerate(docs):
+        if d is not None:
+            ids[find(i)].append(d)
+    return [(d, len(sets[i]), min(ids[find(i)], default=None) if sets[i] else d) for i, (d, _) in enumerate(docs)]
+
+
+def collocations(rows, least=30, most=2000):
+    """(group, rank, phrase, a, l, r, n, score) from (group, text)."""
+    counts = defaultdict(Counter)
+    for group, text in rows:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", small(text)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            for k in range(1, 5):
+                counts["und" if group is None else group].update(tuple(w[i: i + k]) for i in range(len(w) - k + 1))
+    out = []
+    for group, f in counts.items():
+        known = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        told = {q[i: i + k] for q, a in known.items() for k in range(2, len(q)) for i in range(len(q) - k + 1)
+                if 100 * a >= 80 * f[q[i: i + k]]}
+        found = []
+        for p in known.keys() - told:
+            score, k = min((2_000_000 * f[p] // (f[p[:k]] + f[p[k:]]), k) for k in range(1, len(p)))
+            found.append((-score, -f[p], " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        n = sum(a for p, a in f.items() if len(p) == 1)
+        out += [(group, i, p.decode(), -a, left, right, n, -s) for i, (s, a, p, left, right) in enumerate(sorted(found)[:most], 1)]
+    return out
+
+
+def prefix_nodes(turns, five=5, heads=9):
+    """(conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256) from (conv_id, turn, role, text)."""
+    own = defaultdict(list)
+    for c, turn, role, text in turns:
+        if c is not None:
+            own[c].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [t[2:] for t in sorted(ts)] for c, ts in own.items()}
+    members = defaultdict(list)
+    for c, ts in own.items():
+        h = zlib.crc32(str(c).encode()) % heads
+        path = tuple(own.get(c - c % five, [])[:h] + ts[h:])
+        for d in range(len(path) + 1):
+            members[path[:d]].append((c, d == len(path)))
+    children, below = defaultdict(list), {}
+    for p in sorted(members, key=len, reverse=True):
+        leaves = sum(below[q][0] for q in children[p]) if children[p] else 1
+        below[p] = leaves, sum(below[q][1] for q in children[p]) + (len(members[p]) - 1) * (len(p[-1][1].encode()) if p else 0)
+        if p:
+            children[p[:-1]].append(p)
+    return [(min(m)[0], len(p), min(members[p[:-1]])[0] if p else None, len(m), len(children[p]), *below[p],
+             sha(",".join(str(c) for c, ends in sorted(m) if ends))) for p, m in members.items()]
