@@ -5,12 +5,11 @@ on each element's region of weight and rank; every dart belongs to one of K coor
 a coordinate keeps its earliest dart. Two sets agree in a coordinate with the probability of their weighted
 Jaccard similarity. Only about K ln K + 2 K darts are thrown per set, however large it is.
 
-Texts that agree in all coordinates of a band meet in a bucket. The members of a bucket are first held against two
-pivots, its first and last member in an order that differs from band to band; every link is checked on the
-shingles themselves. Connected links are a class. A bucket whose members are of several classes goes on with
-further pivots, round by round, so every two texts that meet are in the end of one class or were checked: few
-rounds where links join the members, all pairs only of those that are not near. At similarity 0.8
-a pair meets in some band with a probability above 0.999996 (24 bands of 4).
+Texts that agree in all coordinates of a band meet in a bucket. Buckets with texts in common are one block, and within it the
+links are checked on the shingles themselves: the sets of a block are joined by tries, which compare many at once and leave out
+what is of one class already; a block too large for one task is dealt into parts. So no pairs are made of a bucket, and
+the number of rounds does not grow with it. Connected links are a class. A pair of similarity 0.8 meets in some
+band with a probability of 0.998, one of 0.85 with 0.9999 (20 bands of 6); texts that meet by way of others are checked too.
 
 Words are those of the decontamination operator. Defined results: a text of fewer than five words is one
 shingle; a text without words is near only to texts equal to it; a NULL text counts as empty. Rows
@@ -30,40 +29,17 @@ from pyspark.sql import types as T
 
 from daybook.llm.components import components
 from daybook.llm.exact_dedup import filter_bits, repeated_slots, with_possible
-from daybook.llm.rows import hash_pair, id_order, stored, with_arrow_columns
-from daybook.llm.tokens import Words, mix, slices, text_buffers
+from daybook.llm.rows import hash_pair, id_order, quoted, stored, with_arrow_columns
+from daybook.llm.tokens import Words, mix, shingles, slices, text_buffers
+from daybook.llm.trie_join import spanning_links
 from daybook.operators.joins import lookup
 from daybook.session import materialise
 
-SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 24, 4
+BANDS, ROWS = 20, 6
 COORDINATES = BANDS * ROWS
 #: Texts whose darts are thrown together.
 AT_ONCE = 512
-#: Pivots of a bucket in one round at most; there are as many rounds as it takes.
-MOST_PIVOTS = 1_024
-
-
-def shingles(words: Words, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text number, hash and count of the distinct shingles of a slice, ordered by both."""
-    n = len(words.hash)
-    if not n:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-    end = words.first_word[1:][words.text]
-    whole = np.arange(n) + size <= end
-    short = (words.counts[words.text] < size) & (np.arange(n) == words.first_word[:-1][words.text])
-    start = np.flatnonzero(whole | short)
-    value = np.zeros(len(start), dtype=np.uint64)
-    for i in range(size):
-        at = start + i
-        word = np.where(at < end[start], words.hash[np.minimum(at, n - 1)], np.uint64(0))
-        value = mix(value * np.uint64(0x9E3779B97F4A7C15) + word)
-    text = words.text[start]
-    order = np.lexsort((value, text))
-    text, value = text[order], value[order]
-    first = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (value[1:] != value[:-1])]))
-    return text[first], value[first], np.diff(np.append(first, len(text)))
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -166,64 +142,18 @@ def _filtered(rows: DataFrame, of: DataFrame, column: str, least: int, per_row:
     return with_possible(rows, slots, bits, column, 1).where("possible").drop("possible")
 
 
-def _linked(signed: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
-    """The pairs a, b that are near on the shingles themselves, stored."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    # sets of texts in pairs; the few others that pass match nothing in the joins
-    linked = _filtered(signed.select("key", "shingles"), ends, "key", 1, per_row=64)
-    sets = linked.groupBy("key").agg(F.first("shingles").alias("s"))
-    left = lookup(pairs, sets.select(F.col("key").alias("a"), F.col("s").alias("sa")), ["a"], "inner")
-    both = lookup(left, sets.select(F.col("key").alias("b"), F.col("s").alias("sb")), ["b"], "inner")
-    common = F.size(F.array_intersect("sa", "sb"))
-    alike = common >= similarity * (F.size(F.array_distinct("sa")) + F.size(F.array_distinct("sb")) - common)
-    return stored(both.where(alike).select("a", "b"))
-
-
-def _pairs(members: DataFrame, pivots: DataFrame, similarity: float) -> DataFrame:
-    """a, b: members and the pivots of their bucket that are not known to be of one class; sizes too different are left out."""
-    met = lookup(members, pivots, ["band"], "inner").select("key", "n", "root", F.explode("pivots").alias("p"))
-    able = F.least("n", "p.n") >= similarity * F.greatest("n", "p.n")
-    return met.where((F.col("root") != F.col("p.root")) & able).select(
-        F.least("key", "p.key").alias("a"), F.greatest("key", "p.key").alias("b")).distinct()
-
-
 def near_components(signed: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """node and root of the classes of keys; ``signed`` has key, n (distinct shingles), bands and shingles, repeated keys allowed.
-
-    A pivot has met every member of its bucket, so it leaves the bucket; what remains goes on as long as it
-    belongs to more than one class. Members with many links come first, as the original of many copies has them.
-    """
-    every = signed.select("key", "n", F.col("key").alias("root"), F.explode("bands").alias("band"))
-    members = stored(_filtered(every, every.select("band"), "band", 2, per_row=8).distinct())
-    place = F.struct(F.xxhash64("key", "band").alias("o"), "key", "n", "root")
-    ends = members.groupBy("band").agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.count("*").alias("size"))
-    seen = stored(_pairs(members, ends.where("size > 1").select("band", F.array("lo", "hi").alias("pivots")), similarity))
-    links = _linked(signed, seen, similarity)
-    found = components(links)
-    large = ends.where("size > 3").select("band", F.col("lo.key").alias("low"), F.col("hi.key").alias("high"))
-    rest = lookup(members, large, ["band"], "inner").where("key <> low AND key <> high").select("key", "n", "band")
-    wanted = 2
-    while True:
-        degrees = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("*").alias("degree"))
-        known = lookup(degrees, found.select(F.col("node").alias("key"), "root"), ["key"])
-        placed = lookup(rest, known, ["key"]).select(
-            "key", "n", "band", F.coalesce("root", "key").alias("root"), F.coalesce("degree", F.lit(0)).alias("degree"))
-        mixed = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band")
-        open_ = stored(lookup(placed, mixed, ["band"], "left_semi"))
-        if open_.isEmpty():
-            return found
-        wanted = min(4 * wanted, MOST_PIVOTS)
-        order = F.struct((-F.col("degree")).alias("d"), F.xxhash64("key", "band").alias("o"), "key", "n", "root")
-        slot = F.pmod(F.xxhash64("band", "key"), F.lit(wanted)).alias("slot")
-        chosen = stored(open_.groupBy("band", slot).agg(F.min(order).alias("p")).select("band", "p.key", "p.n", "p.root"))
-        pivots = chosen.groupBy("band").agg(F.collect_list(F.struct("key", "n", "root")).alias("pivots"))
-        pairs = stored(lookup(_pairs(open_, pivots, similarity), seen, ["a", "b"], "left_anti"))
-        seen = seen.unionByName(pairs)
-        new = _linked(signed, pairs, similarity)
-        if not new.isEmpty():
-            links = links.unionByName(new)
-            found = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(new))
-        rest = lookup(open_.select("key", "n", "band"), chosen.select("band", "key"), ["band", "key"], "left_anti")
+    """node and root of the classes of keys; ``signed`` has key, n (distinct shingles), bands and shingles, repeated keys allowed."""
+    every = signed.select("key", F.explode("bands").alias("band"))
+    met = stored(_filtered(every, every.select("band"), "band", 2, per_row=8).distinct())
+    centre = met.groupBy("band").agg(F.min("key").alias("b"), F.max("key").alias("c")).where("b < c").select("band", "b")
+    blocks = stored(components(lookup(met, centre, ["band"], "inner").where("key <> b").select(F.col("key").alias("a"), "b").distinct()))
+    block = blocks.unionByName(blocks.select(F.col("root").alias("node"), "root").distinct()).select(
+        F.col("node").alias("key"), F.col("root").alias("block"))
+    some = _filtered(signed.select("key", "n", "shingles"), block.select("key"), "key", 1, per_row=64)
+    once = some.groupBy("key").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles"))
+    sets = stored(lookup(once, block, ["key"], "inner").select("block", "key", "n", F.array_distinct("shingles").alias("shingles")))
+    return components(spanning_links(sets, percent=round(100 * similarity)))
 
 
 def _keyed(df: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -270,5 +200,5 @@ def drop_near_copies(
     single = lookup(large, winners.where("copies = 1").select(at), [at], "left_semi").drop(at)
     # rows that agree in id and text: one of them
     several = lookup(large, winners.where("copies > 1").select(at), [at], "left_semi")
-    row = F.struct(*df.columns)
+    row = F.struct(*[quoted(c) for c in df.columns])
     return single.unionByName(several.groupBy(at).agg(F.min_by(row, F.xxhash64(row)).alias("row")).select("row.*"))

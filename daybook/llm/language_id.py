@@ -136,7 +136,7 @@ def fit(x: np.ndarray, labels: list[str], steps: int = 300, rate: float = 30.0,
 
 
 def labelled_sample(df: DataFrame, text: str, lang: str, teaches: Column, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """About ``rows`` rows with a label, evenly over the languages, by a hash of the text."""
+    """At most about ``rows`` different texts with a label, evenly over the languages, by a hash of the text; copies count once."""
     known = df.where(teaches & F.col(lang).isNotNull() & F.col(text).isNotNull())
     counts = {r[0]: r[1] for r in known.groupBy(lang).count().collect()}
     each = rows / max(1, len(counts))
@@ -144,7 +144,7 @@ def labelled_sample(df: DataFrame, text: str, lang: str, teaches: Column, rows:
     if part is None:
         return known.select(F.col(text).alias("text"), F.col(lang).alias("lang")).limit(0)
     drawn = F.pmod(F.xxhash64(F.lit(5), F.col(text)), F.lit(1 << 20)) < part[F.col(lang)] * (1 << 20)
-    return known.where(drawn).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
+    return known.where(drawn).select(F.col(text).alias("text"), F.col(lang).alias("lang")).distinct()
 
 
 def train(df: DataFrame, text: str = "text", lang: str = "lang", teaches: Column | None = None) -> Model | None:

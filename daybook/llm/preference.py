@@ -3,7 +3,7 @@
 The longest common prefix of turns is rendered once. Each completion comes with the spans of
 its characters that bear loss: the texts of assistant turns with their end mark.
 
-Defined results: rows that agree in conversation and turn count once, the first in the order of
+Defined results: rows that agree in conversation, turn, role and text count once; others of one turn order by
 role and text (NULLs last); a NULL turn number orders last; a NULL role is ``unknown`` and a NULL text empty. A conversation
 that no pair names, or a pair of which one side is missing, gives no example. If one side is
 a prefix of the other, its completion is empty. Other columns are not used.
@@ -23,12 +23,13 @@ def rendered(role: Column, text: Column) -> Column:
 
 def conversations(turns: DataFrame) -> DataFrame:
     """conv_id and its turns in order, as one array."""
-    role, text = F.coalesce("role", F.lit("unknown")), F.coalesce("text", F.lit(""))
-    order = F.struct(F.col("role").isNull().alias("r"), F.col("role"), F.col("text").isNull().alias("t"), F.col("text"))
-    once = turns.where("conv_id IS NOT NULL").groupBy("conv_id", "turn").agg(
-        F.min_by(F.struct(role.alias("role"), text.alias("text")), order).alias("said"))
-    item = F.struct(F.col("turn").isNull().alias("last"), F.col("turn"), F.col("said"))
-    return once.groupBy("conv_id").agg(F.array_sort(F.collect_list(item)).alias("items")).select(
+    said = turns.where("conv_id IS NOT NULL").select("conv_id", "turn", "role", "text").distinct()
+    item = F.struct(
+        F.col("turn").isNull().alias("last"), F.col("turn"), F.col("role").isNull().alias("r"), F.col("role").alias("own_role"),
+        F.col("text").isNull().alias("t"), F.col("text").alias("own_text"),
+        F.struct(F.coalesce("role", F.lit("unknown")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("said"))
+    once = said.select("conv_id", item.alias("item"))
+    return once.groupBy("conv_id").agg(F.array_sort(F.collect_list("item")).alias("items")).select(
         "conv_id", F.transform("items", lambda t: t["said"]).alias("turns"))
 
 

@@ -126,11 +126,10 @@ _NORMAL = r"lower(trim(regexp_replace({}, '[\x20\x09-\x0D]+', ' ', 'g'), ' '))"
 ORACLES = {
     "op1_preference": r"""
 WITH said AS (
-    SELECT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL
-    QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY role NULLS LAST, text NULLS LAST) = 1
+    SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL
 ), numbered AS (
     SELECT conv_id, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
-           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST) AS n
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role NULLS LAST, text NULLS LAST) AS n
     FROM said
 ), pairs AS (
     SELECT a.conv_id // 2 AS pair_id, a.conv_id AS chosen_id, b.conv_id AS rejected_id

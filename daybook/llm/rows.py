@@ -42,6 +42,11 @@ def id_order(doc_id: Column, *rest: Column) -> Column:
     return F.struct(doc_id.isNull().alias("no_id"), doc_id.alias("id"), *rest)
 
 
+def quoted(name: str) -> str:
+    """A column's name as a reference, whatever signs it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def with_arrow_columns(
     df: DataFrame, fields: Sequence[tuple[str, T.DataType]],
     each: Callable[[Iterator[pa.RecordBatch]], Iterator[list[pa.Array]]],
@@ -51,10 +56,10 @@ def with_arrow_columns(
     A column of ``df`` that has the name of a new one is replaced by it. Batches are bounded
     in rows and bytes by the session's Arrow settings.
     """
-    new = {name for name, _ in fields}
-    kept = [f for f in df.schema.fields if f.name not in new]
+    new = {name.lower() for name, _ in fields}  # as Spark tells names apart
+    kept = [f for f in df.schema.fields if f.name.lower() not in new]
     schema = T.StructType(kept + [T.StructField(n, t) for n, t in fields])
-    keep_at = [i for i, f in enumerate(df.schema.fields) if f.name not in new]
+    keep_at = [i for i, f in enumerate(df.schema.fields) if f.name.lower() not in new]
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -143,15 +143,16 @@ def train(
         return None
     prior = float(np.clip(toxic / total, 1e-4, 0.9)) if prior is None else prior
 
-    def part(rows: int, of: int) -> Column:
-        return F.pmod(F.xxhash64(F.lit(3), F.col(doc_id)), F.lit(1 << 30)) < min(1.0, rows / max(1, of)) * (1 << 30)
+    def part(rows: int, of: int, *by: Column) -> Column:
+        return F.pmod(F.xxhash64(F.lit(3), F.col(doc_id), *by), F.lit(1 << 30)) < min(1.0, rows / max(1, of)) * (1 << 30)
 
     # at most about POSITIVES ids of a few bytes: the one side that is sent to all tasks
     ids = F.broadcast(known.where((F.col("_toxic") == 1) & part(POSITIVES, toxic)).select(F.col(doc_id).alias("_id")))
-    rows = df.where(F.col(text).isNotNull())
-    positive = _term_counts(rows.join(ids, F.col(doc_id) == F.col("_id"), "left_semi").select(text))
+    rows = df.where(F.col(text).isNotNull() & F.col(doc_id).isNotNull())
+    # copies of a text count once, so that the bounds hold whatever share of the rows they are
+    positive = _term_counts(rows.join(ids, F.col(doc_id) == F.col("_id"), "left_semi").select(text).distinct())
     n = df.where(may).count()
-    unlabelled = _term_counts(rows.where(may & part(UNLABELLED, n)).select(text))
+    unlabelled = _term_counts(rows.where(may & part(UNLABELLED, n, F.col(text))).select(text).distinct())
     if not positive or not unlabelled:
         return None
     vocabulary = telling_terms([t for t, _ in positive], [t for t, _ in unlabelled], VOCABULARY)

@@ -33,10 +33,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.llm.components import components
-from daybook.llm.dart_minhash import shingles
 from daybook.llm.exact_dedup import filter_bits, repeated_slots, with_possible
 from daybook.llm.rows import stored
-from daybook.llm.tokens import NOT_SPACE, Words, mix, slices, text_buffers
+from daybook.llm.tokens import NOT_SPACE, Words, mix, shingles, slices, text_buffers
 from daybook.operators.joins import lookup
 
 #: Similarity in percent.
@@ -214,7 +213,9 @@ class Trie:
                 todo += [(a, b, stop, here) for a, b in zip(cuts, cuts[1:])]
 
 
-def trie_links(sets: list[np.ndarray], component: np.ndarray, indexed: list[int], walking: list[int] | None = None) -> list[tuple[int, int]]:
+def trie_links(
+    sets: list[np.ndarray], component: np.ndarray, indexed: list[int], walking: list[int] | None = None, percent: int = SIMILARITY,
+) -> list[tuple[int, int]]:
     """Links between the sets numbered ``indexed`` and ``walking`` (or among the indexed) that join components; ``component`` is
     brought up to date. The links with those given span each component of all links there are."""
     if not indexed:
@@ -231,7 +232,7 @@ def trie_links(sets: list[np.ndarray], component: np.ndarray, indexed: list[int]
     walks = list(zip(number, range(len(number)))) if walking is None else [(i, len(number)) for i in walking]
     for who, limit in walks:
         mine, size = coded[who], len(coded[who])
-        fits_low, fits_high = least_overlap(size), size * 100 // SIMILARITY
+        fits_low, fits_high = -(-percent * size // 100), size * 100 // percent
         marked[mine] = True
         todo = [(0, 0)]
         while todo:
@@ -245,9 +246,9 @@ def trie_links(sets: list[np.ndarray], component: np.ndarray, indexed: list[int]
             overlap += int(np.count_nonzero(marked[path[start:stop]]))
             left = size - int(np.searchsorted(mine, path[stop - 1], side="right")) if stop else size
             best = overlap + min(min(longest, fits_high) - stop, left)
-            if best * (100 + SIMILARITY) < SIMILARITY * (size + max(shortest, fits_low)):
+            if best * (100 + percent) < percent * (size + max(shortest, fits_low)):
                 continue
-            if len(path) == stop and below[low] != component[who] and 100 * overlap >= SIMILARITY * (size + stop - overlap):
+            if len(path) == stop and below[low] != component[who] and 100 * overlap >= percent * (size + stop - overlap):
                 links.append((number[low], who))
                 old, new = component[who], below[low]
                 component[component == old] = new
@@ -260,31 +261,36 @@ def trie_links(sets: list[np.ndarray], component: np.ndarray, indexed: list[int]
 _LINK = "a struct<k1:long,k2:long>, b struct<k1:long,k2:long>"
 
 
-def _join_task(rows: pa.Table) -> pa.Table:
-    keys, role = rows["key"].to_pylist(), np.asarray(rows["role"])
-    component = np.unique(np.asarray(rows["component"]), return_inverse=True)[1]
-    shingle = rows["shingles"].combine_chunks()
-    body, ends = shingle.values.to_numpy(), shingle.offsets.to_numpy()
-    sets = [body[i:j] for i, j in zip(ends, ends[1:])]
-    walking = np.flatnonzero(role == 1).tolist()
-    found = trie_links(sets, component, np.flatnonzero(role == 0).tolist(), walking or None)
-    kind = pa.struct([("k1", pa.int64()), ("k2", pa.int64())])
-    return pa.table([pa.array([keys[i] for i, _ in found], kind), pa.array([keys[j] for _, j in found], kind)], names=["a", "b"])
+def _join_task(percent: int):
+    def run(rows: pa.Table) -> pa.Table:
+        keys, role = rows["key"].to_pylist(), np.asarray(rows["role"])
+        component = np.unique(np.asarray(rows["component"]), return_inverse=True)[1]
+        shingle = rows["shingles"].combine_chunks()
+        body, ends = shingle.values.to_numpy(), shingle.offsets.to_numpy()
+        sets = [body[i:j] for i, j in zip(ends, ends[1:])]
+        walking = np.flatnonzero(role == 1).tolist()
+        found = trie_links(sets, component, np.flatnonzero(role == 0).tolist(), walking or None, percent)
+        kind = pa.struct([("k1", pa.int64()), ("k2", pa.int64())])
+        return pa.table([pa.array([keys[i] for i, _ in found], kind), pa.array([keys[j] for _, j in found], kind)], names=["a", "b"])
+
+    return run
 
 
-def _joined(rows: DataFrame, *task: str) -> DataFrame:
+def _joined(rows: DataFrame, percent: int, *task: str) -> DataFrame:
     """Links found in each task of rows (key, shingles, component, role); stored."""
-    return stored(rows.select(*task, "key", "shingles", "component", "role").groupBy(*task).applyInArrow(_join_task, _LINK))
+    return stored(rows.select(*task, "key", "shingles", "component", "role").groupBy(*task).applyInArrow(_join_task(percent), _LINK))
 
 
-def spanning_links(sets: DataFrame, most_sets: int = MOST_SETS, most_shingles: int = MOST_SHINGLES) -> DataFrame:
-    """a, b: verified links that span the components of all links. ``sets`` has block, key, n and shingles."""
+def spanning_links(
+    sets: DataFrame, most_sets: int = MOST_SETS, most_shingles: int = MOST_SHINGLES, percent: int = SIMILARITY,
+) -> DataFrame:
+    """a, b: verified links that span the components of all links. ``sets`` has block, key (k1, k2), n and shingles (distinct)."""
     parts = F.ceil(F.greatest(F.count("*") / most_sets, F.sum("n") / most_shingles)).cast("int")
     sizes = sets.groupBy("block").agg(parts.alias("parts"))
     alone = F.xxhash64("key")
     dealt = lookup(sets, sizes, ["block"], "inner").withColumns({
         "part": F.pmod(F.xxhash64("key", F.lit(3)), "parts").cast("int"), "component": alone, "role": F.lit(0)})
-    links = _joined(dealt, "block", "part")
+    links = _joined(dealt, percent, "block", "part")
     large = dealt.where("parts > 1")
     if large.isEmpty():
         return links
@@ -299,7 +305,7 @@ def spanning_links(sets: DataFrame, most_sets: int = MOST_SETS, most_shingles: i
     speaking = lookup(with_components(links), speaker, ["key"], "left_semi")
     groups = speaking.groupBy("block").agg(parts.alias("groups"))
     again = lookup(speaking, groups, ["block"], "inner").withColumn("part", F.pmod(F.xxhash64("key", F.lit(5)), "groups"))
-    links = stored(links.unionByName(_joined(again, "block", "part")))
+    links = stored(links.unionByName(_joined(again, percent, "block", "part")))
 
     now = stored(with_components(links).select("block", "part", "parts", "key", "n", "component"))
     largest = now.groupBy("block", "component").agg(F.count("*").alias("size")).groupBy("block").agg(F.max_by("component", F.struct("size", "component")).alias("main"))
@@ -313,7 +319,7 @@ def spanning_links(sets: DataFrame, most_sets: int = MOST_SETS, most_shingles: i
         "walk": F.pmod(F.xxhash64("key", F.lit(7)), "walks").cast("int"), "role": F.lit(1)}).drop("part").withColumn(
         "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     last = indexed.unionByName(walking, allowMissingColumns=True)
-    return links.unionByName(_joined(last, "block", "part", "walk"))
+    return links.unionByName(_joined(last, percent, "block", "part", "walk"))
 
 
 def jaccard_components(df: DataFrame, text: str = "text", doc_id: str = "doc_id", most_frequent: int = MOST_FREQUENT,
