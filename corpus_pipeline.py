@@ -15,17 +15,18 @@ from pyspark.sql import functions as F
 
 from daybook.llm import dart_minhash, decontaminate, exact_dedup, language_id
 from daybook.llm.registered import packed, table
-from daybook.llm.rows import held_out
+from daybook.llm.rows import held_out, quoted
 from daybook.session import ensure_checkpoint_dir
 
 
 def _as(docs: DataFrame, out: DataFrame) -> DataFrame:
-    return out.select(*[f"`{c}`" for c in docs.columns])
+    return out.select(*[quoted(c) for c in docs.columns])
 
 
 def _judged(docs: DataFrame, results: list[tuple], judge: Callable[[DataFrame], DataFrame], keep: str) -> DataFrame:
     """The documents for which ``keep`` holds of what ``judge`` adds; own columns with a result's name step aside meanwhile."""
-    aside = {name: f"own {name}" for name, _ in results if name in docs.columns}
+    taken = {name.lower() for name, _ in results}
+    aside = {name: f"own {name}" for name in docs.columns if name.lower() in taken}
     kept = judge(docs.withColumnsRenamed(aside)).where(keep).drop(*[name for name, _ in results])
     return _as(docs, kept.withColumnsRenamed({held: name for name, held in aside.items()}))
 
