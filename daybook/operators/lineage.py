@@ -88,10 +88,11 @@ def undeclared_references(
     return unmatched(read, allowed, ["path", "name"]).select("path", "name")
 
 
-def lineage_problems(nodes: DataFrame, objects: DataFrame, texts: DataFrame) -> DataFrame:
+def lineage_problems(nodes: DataFrame, objects: DataFrame, texts: DataFrame, view_reads: DataFrame | None = None) -> DataFrame:
     """Every mismatch between declared lineage and reality, as one text per row.
 
-    ``nodes`` (node, type, built_by, upstream), ``objects`` (name, view_sql), ``texts`` (path, text).
+    ``nodes`` (node, type, built_by, upstream), ``objects`` (name, view_sql), ``texts`` (path, text). ``view_reads`` (path, name) has
+    what the views' parsed plans read; without it names are looked for in their text.
     """
     edges = declared_edges(nodes)
     declared = nodes.where(F.col("type").isin("table", "view")).select(F.col("node").alias("name"))
@@ -102,7 +103,7 @@ def lineage_problems(nodes: DataFrame, objects: DataFrame, texts: DataFrame) ->
     differing = two_way_difference(declared, actual).select(F.concat("name", F.lit(": "), "problem").alias("problem"))
 
     views = objects.where(F.col("view_sql").isNotNull()).select(F.col("name").alias("path"), F.col("view_sql").alias("text"))
-    reads = references(views).where(F.col("name") != F.col("path"))
+    reads = (references(views) if view_reads is None else view_reads.distinct()).where(F.col("name") != F.col("path"))
     view_declared = edges.select(F.col("downstream").alias("path"), F.col("upstream").alias("name"))
     from_views = reads.join(view_declared, ["path", "name"], "left_anti").select(
         F.concat(F.lit("view "), "path", F.lit(" reads undeclared "), "name").alias("problem"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from daybook.operators.lineage import declared_edges, lineage_edges, lineage_problems, lineage_records
 from daybook.operators.quality import documented_records
+from daybook.operators.reads import view_reads
 from daybook.plans.catalog import asset_index
 from daybook.plans.gates import RunLog
 from daybook.plans.metrics import Metric, metric_definitions
@@ -93,7 +94,8 @@ def coverage_record(spark: SparkSession, layer: str) -> DataFrame:
 def lineage_record(spark: SparkSession, nodes: DataFrame, texts: DataFrame, layers: Sequence[str] = LAYERS) -> DataFrame:
     """The lineage check: a failed record per problem, or one that passed."""
     objects = warehouse_objects(spark, layers).select(F.col("id").alias("name"), "view_sql")
-    return lineage_records(lineage_problems(nodes, objects, texts), "catalog")
+    views = {o.name: o.view_sql for o in objects.where("view_sql IS NOT NULL").collect()}
+    return lineage_records(lineage_problems(nodes, objects, texts, view_reads(spark, views)), "catalog")
 
 
 def run(spark: SparkSession, log: RunLog, metrics: Sequence[Metric], nodes: DataFrame, texts: DataFrame,

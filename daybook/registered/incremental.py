@@ -10,6 +10,7 @@ from daybook.operators.asof import as_of
 from daybook.operators.blocked import BLOCK, lagged, rolling_mean
 from daybook.operators.daily_pick import replace_documents
 from daybook.operators.enrich import failures
+from daybook.operators.nearest import nearest_many
 from daybook.operators.rollup import Measure
 from daybook.operators.search import facet_filter
 from daybook.plans.fit_state import advance_by_runs, fit_state
@@ -133,6 +134,16 @@ def _lineage_reach(spark, d):
     return lineage.reach(edges, starts.select(F.col("upstream").alias("node")))
 
 
+# ---- many questions -------------------------------------------------------------------------------
+
+
+def _cosine_many(spark, d):
+    """Every vector with an id divisible by 20 against all."""
+    vectors = table(spark, d, "embeddings").select("vec_id", "embedding")
+    found, _ = nearest_many(vectors, "embedding", "vec_id", vectors.where("vec_id % 20 = 0"), k=5, size=64)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 # ---- smaller helpers ------------------------------------------------------------------------------
 
 
@@ -158,6 +169,7 @@ QUERIES = {
     "forecast_from_state": _forecast_from_state,
     "rollup_late_versions": _rollup_late,
     "lineage_reach": _lineage_reach,
+    "cosine_many": _cosine_many,
     "replace_documents": _replaced,
     "enrich_left_open": _left_open,
     "facet_filter": lambda s, d: facet_filter(docs_as_assets(s, d), kinds=["Document"], layers=["fr", "de"]).select("id", "layer"),
@@ -197,6 +209,16 @@ ORACLES = {
             SELECT DISTINCT upstream, upstream, 0 FROM graph WHERE upstream LIKE 'region:%' OR upstream LIKE 'nation:%'
             UNION SELECT w.start, g.downstream, w.hops + 1 FROM walk w JOIN graph g ON g.upstream = w.node WHERE w.hops < 12
         ) SELECT start, node, MIN(hops) AS hops FROM walk GROUP BY ALL""",
+    "cosine_many": """
+        WITH units AS (
+            SELECT vec_id, list_transform(v, lambda x: x / sqrt(list_sum(list_transform(v, lambda y: y * y)))) AS v
+            FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
+        ), scored AS (
+            SELECT q.vec_id AS question, u.vec_id, ROUND(list_dot_product(q.v, u.v), 6) AS similarity
+            FROM units u, units q WHERE q.vec_id % 20 = 0
+        )
+        SELECT question, CAST(row_number() OVER (PARTITION BY question ORDER BY similarity DESC, vec_id) AS INTEGER) AS rank, vec_id, similarity
+        FROM scored QUALIFY rank <= 5""",
     "replace_documents": """
         SELECT doc_id, lang, CASE WHEN doc_id % 7 = 0 THEN 'again' ELSE source END AS source FROM documents""",
     "enrich_left_open": """

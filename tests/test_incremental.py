@@ -7,16 +7,18 @@ import os
 import random
 from datetime import date, datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.operators import lineage, retract
+from daybook.operators import lineage, nearest, retract
 from daybook.operators.asof import as_of
 from daybook.operators.blocked import BLOCK, lagged, rolling_mean, running_sums
 from daybook.operators.dedupe import latest_wins
 from daybook.operators.enrich import enrich_once
 from daybook.operators.features import roll7_features
+from daybook.operators.reads import tables_read
 from daybook.operators.rollup import Measure, daily_rollup
 from daybook.plans.fit_state import advance, fit_state
 from daybook.plans.forecast import next_day_forecast, state_forecast, walk_forward
@@ -253,3 +255,44 @@ def test_a_call_is_paid_once(spark, tmp_path):
     assert again[3] == (4, 3, None) and calls().count("bad") == 3 and calls().count("same") == 1
     rows(once("m2"))
     assert calls().count("same") == 2  # another model is another call
+
+
+# ---- many questions
+
+
+@pytest.mark.parametrize("centres", [1, 7, 64])
+def test_nearest_of_many_questions(spark, centres, monkeypatch):
+    monkeypatch.setattr(nearest, "PART", 40)
+    monkeypatch.setattr(nearest, "ASKED", 9)
+    rng = np.random.default_rng(2)
+    families = rng.normal(size=(6, 8))
+    v = [(families[i % 6] + rng.normal(size=8) * 0.2).tolist() for i in range(250)] + [families[0].tolist()] * 120
+    data = [(i, x) for i, x in enumerate(v)] + [(900, None), (901, [0.0] * 8), (902, [1.0] * 3), (903, [None] * 8)]
+    df = spark.createDataFrame(data, "id long, v array<double>")
+    found, compared = nearest.nearest_many(df, "v", "id", df.where("id % 9 = 0"), k=4, size=8, most_centres=centres)
+    m = np.array(v) / np.linalg.norm(v, axis=1, keepdims=True)
+    want = []
+    for q in range(0, len(v), 9):
+        scores = np.round(m @ m[q], 6)
+        want += [(q, r + 1, int(i), float(scores[i])) for r, i in enumerate(np.lexsort((np.arange(len(v)), -scores))[:4])]
+    got = [(q, r, i, round(s, 6)) for q, r, i, s in rows(found, "question", "rank")]
+    assert got == want
+    share = compared.agg(F.sum("compared")).first()[0] / (len(v) * len(range(0, len(v), 9)))
+    assert share <= 1 and (centres < 64 or share < 0.6)
+    none = nearest.nearest_many(df.limit(0), "v", "id", df, k=4, size=8)
+    assert none[0].count() == 0 == none[1].count()
+
+
+# ---- what a view reads
+
+
+@pytest.mark.parametrize("sql,names", [
+    ("SELECT 'from gold.fake' AS a -- silver.comment\nFROM gold.real AS silver_alias", {"gold.real"}),
+    ("WITH x AS (SELECT * FROM bronze.a), y AS (SELECT * FROM x JOIN bronze.b USING (k)) SELECT * FROM y, x", {"bronze.a", "bronze.b"}),
+    ("SELECT * FROM silver.t WHERE k IN (SELECT k FROM silver.u WHERE EXISTS (SELECT 1 FROM silver.w)) OR v > (SELECT max(v) FROM gold.m)",
+     {"silver.t", "silver.u", "silver.w", "gold.m"}),
+    ("SELECT * FROM a.t1 UNION ALL (SELECT * FROM a.t2 LEFT JOIN LATERAL (SELECT * FROM a.t3) ON true)", {"a.t1", "a.t2", "a.t3"}),
+    ("WITH x AS (WITH y AS (SELECT 1 AS k) SELECT * FROM y) SELECT * FROM x JOIN y", {"y"}),
+])
+def test_tables_read(spark, sql, names):
+    assert tables_read(spark, sql) == names
