@@ -26,7 +26,7 @@ def _star(links: DataFrame, both_ways: bool) -> DataFrame:
     else:
         out = joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             least.select("a", F.col("m").alias("b")))
-    return out.where("a <> b").distinct()
+    return out.where("a <> b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -41,4 +41,4 @@ def components(links: DataFrame) -> DataFrame:
         if state == before or not state[0]:
             return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
         before = state
-        links = materialise(_star(_star(links, True), False))
+        links = materialise(_star(_star(links, True), False).distinct())

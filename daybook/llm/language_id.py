@@ -161,9 +161,13 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", teaches: Column
     got = sample.mapInArrow(run, "x binary, lang string").toArrow()
     if not got.num_rows:
         return None
-    got = got.sort_by([("lang", "ascending"), ("x", "ascending")])  # the same model whatever order the rows came in
-    x = np.stack([np.frombuffer(v, dtype=np.float16) for v in got.column("x").to_pylist()]).astype(np.float32)
-    return fit(x, got.column("lang").to_pylist())
+    got = got.sort_by([("lang", "ascending"), ("x", "ascending")]).combine_chunks()  # the same model whatever order the rows came in
+    langs, rows = got.column("lang").to_pylist(), got.column("x").chunk(0)
+    ends = np.frombuffer(rows.buffers()[1], dtype=np.int32)[rows.offset: rows.offset + len(rows) + 1]
+    x = np.frombuffer(rows.buffers()[2], dtype=np.uint8)[ends[0]: ends[-1]].view(np.float16).reshape(len(rows), -1).astype(np.float32)
+    del got, rows
+    pa.default_memory_pool().release_unused()
+    return fit(x, langs)
 
 
 def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:

@@ -270,6 +270,12 @@ def _join_task(percent: int):
         sets = [body[i:j] for i, j in zip(ends, ends[1:])]
         walking = np.flatnonzero(role == 1).tolist()
         found = trie_links(sets, component, np.flatnonzero(role == 0).tolist(), walking or None, percent)
+        if not walking:  # each set to the smallest key of its component: what follows has short ways
+            joined = {i for link in found for i in link}
+            least: dict[int, int] = {}
+            for i in sorted(joined, key=lambda i: (keys[i]["k1"], keys[i]["k2"])):
+                least.setdefault(int(component[i]), i)
+            found = [(i, least[int(component[i])]) for i in joined if least[int(component[i])] != i]
         kind = pa.struct([("k1", pa.int64()), ("k2", pa.int64())])
         return pa.table([pa.array([keys[i] for i, _ in found], kind), pa.array([keys[j] for _, j in found], kind)], names=["a", "b"])
 
