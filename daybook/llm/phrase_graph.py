@@ -1,14 +1,13 @@
 """Collocations from a weighted de Bruijn graph of four-word edges.
 
 Nodes are three words, an edge is four, its weight how often they stand together. Every word starts one
-edge; near the end of a piece the missing words are empty, so such rows are the corrections for piece ends. How often
-fewer words stand together is the flow out of a node: edges added up by their first three words, those by their first two, and
-so on. Runs of nodes with one way in and one way out, both with the node's whole weight, are
+edge; near the end of a piece the edge has fewer words, so such rows are the corrections for piece ends. How often
+fewer words stand together is the flow out of a node: edges added up by their first three words, by their first two, by their first. Runs of nodes with one way in and one way out, both with the node's whole weight, are
 compacted into paths; the four-word phrases are read from those.
 
-Before the edges are made, pairs of words are counted in ``PAIR_SLOTS`` slots, over all texts. A piece ends for the graph where the
-slot of a pair has fewer than ``least`` pairs: no phrase over it can be frequent, and every count from ``least`` on
-stays exact. The slots that pass are a bitmap of 8 MB that goes to every task. The larger the corpus, the more pass.
+Before the edges are made, words and pairs of words are counted in ``SLOTS`` slots, over all texts. A piece ends for the graph where the
+slot of a pair has fewer than ``least``, and no edge starts with a word whose slot has: no phrase over either can be frequent, and every
+count from ``least`` on stays exact. The slots that pass are a bitmap of 8 MB that goes to every task. The larger the corpus, the more pass.
 
 Defined results: a NULL text is empty, a NULL group ``und``. Repeated rows all count. An empty table gives no rows. Other columns are not used.
 Within a slice of texts words are told apart by 64-bit hashes; everything else compares the words themselves.
@@ -22,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,7 +35,7 @@ MOST_RANKED = 2_000
 #: A longer phrase with this share of a shorter one's occurrences, in percent, stands for it.
 ABSORBS = 80
 SCORE_UNITS = 2_000_000
-PAIR_SLOTS = 1 << 26
+SLOTS = 1 << 26
 #: Bytes of texts whose edges are counted together before they leave a task, and pairs whose slots are.
 SLICE, PAIRS_AT_ONCE = 1 << 20, 1 << 21
 WORDS = ("w1", "w2", "w3", "w4")
@@ -66,10 +66,11 @@ class Pieces:
         self.piece = np.cumsum(_BREAK[part])[self.start] + self.text
 
 
-def _pairs(p: Pieces, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each word but the last: whether the next one is in its piece, and the slot of the two in their group."""
+def _slots(p: Pieces, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The slot of each word in its group; for each word but the last whether the next one is in its piece, and the slot of the two."""
+    one = mix(p.hash + groups[p.text])
     near = p.piece[:-1] == p.piece[1:]
-    return near, mix(mix(p.hash[:-1] + groups[p.text[:-1]]) * _STEP + p.hash[1:]) & np.uint64(PAIR_SLOTS - 1)
+    return mix(one) & np.uint64(SLOTS - 1), near, mix(one[:-1] * _STEP + p.hash[1:]) & np.uint64(SLOTS - 1)
 
 
 def _read(b: pa.RecordBatch, size: int) -> Iterator[tuple[Pieces, np.ndarray, np.ndarray, list[str]]]:
@@ -84,7 +85,7 @@ def _read(b: pa.RecordBatch, size: int) -> Iterator[tuple[Pieces, np.ndarray, np
             yield p, number[i:j], hashes[number[i:j]], names
 
 
-def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     waiting: list[np.ndarray] = []
 
     def counted():
@@ -94,22 +95,22 @@ def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for b in batches:
         for p, _, hashes, _ in _read(b, SLICE):
-            near, slot = _pairs(p, hashes)
-            waiting.append(slot[near].astype(np.uint32))
+            word, near, pair = _slots(p, hashes)
+            waiting.append(np.concatenate([word, pair[near]]).astype(np.uint32))
             if sum(map(len, waiting)) >= PAIRS_AT_ONCE:
                 yield counted()
     if waiting:
         yield counted()
 
 
-def frequent_pairs(rows: DataFrame, least: int = LEAST) -> np.ndarray:
-    """A bitmap of PAIR_SLOTS bits: the slots with at least ``least`` pairs. ``rows`` has grp and text."""
-    slots = rows.mapInArrow(_count_pairs, "slot int, n int").groupBy("slot").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+def frequent_slots(rows: DataFrame, least: int = LEAST) -> np.ndarray:
+    """A bitmap of SLOTS bits: the slots with at least ``least`` words and pairs. ``rows`` has grp and text."""
+    slots = rows.mapInArrow(_count_slots, "slot int, n int").groupBy("slot").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     number = F.col("slot") + 1
     packed = slots.groupBy(F.bitmap_bucket_number(number).alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits"))
-    out = np.zeros(PAIR_SLOTS // 8, dtype=np.uint8)
-    for r in packed.toLocalIterator():  # at most PAIR_SLOTS bits
+    out = np.zeros(SLOTS // 8, dtype=np.uint8)
+    for r in packed.toLocalIterator():  # at most SLOTS bits
         out[(r.bucket - 1) * 4_096: (r.bucket - 1) * 4_096 + len(r.bits)] = np.frombuffer(bytes(r.bits), dtype=np.uint8)
     return out
 
@@ -125,35 +126,44 @@ def _strings(p: Pieces, words: np.ndarray) -> pa.Array:
 def _count_edges(bitmap):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bitmap.value
+
+        def passes(slot: np.ndarray) -> np.ndarray:
+            return (bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
         for b in batches:
             for p, number, hashes, names in _read(b, SLICE):
-                near, slot = _pairs(p, hashes)
-                passes = (bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1
-                on = np.concatenate([near & (passes == 1), np.zeros(4, dtype=bool)])
+                word, near, pair = _slots(p, hashes)
+                on = np.concatenate([near & passes(pair), np.zeros(4, dtype=bool)])
                 _, first, code = np.unique(p.hash, return_index=True, return_inverse=True)
-                n = len(code)
+                n, group = len(code), number[p.text]
                 code = np.concatenate([code + 1, np.zeros(3, dtype=np.int64)])
-                reach, columns, key = np.ones(n, dtype=bool), [], number[p.text].astype(np.uint64)
+                reach, columns, key = np.ones(n, dtype=bool), [], group.astype(np.uint64)
                 for k in range(4):
                     columns.append(np.where(reach, code[k: n + k], 0))
                     key = mix(key * _STEP + columns[-1].astype(np.uint64))
                     reach = reach & on[k: n + k]
-                _, at, count = np.unique(key, return_index=True, return_counts=True)
-                text = _strings(p, first)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names, pa.string()).take(pa.array(number[p.text[at]]))]
-                    + [text.take(pa.array(c[at])).cast(pa.string()) for c in columns] + [pa.array(count.astype(np.int64))],
-                    names=["grp", *WORDS, "n"])
+                starts = np.flatnonzero(passes(word))
+                _, at, count = np.unique(key[starts], return_index=True, return_counts=True)
+                at, text = starts[at], _strings(p, first)
+                words = [text.take(pa.array(c[at], mask=c[at] == 0)) for c in columns]
+                phrase = pc.binary_join_element_wise(*words, pa.scalar(" ", pa.large_string()), null_handling="skip").cast(pa.string())
+                seen = np.bincount(group, minlength=len(names))  # all words, under the empty phrase
+                some = np.flatnonzero(seen)
+                yield pa.RecordBatch.from_arrays([
+                    pa.concat_arrays([pa.array(names, pa.string()).take(pa.array(group[at])), pa.array(names, pa.string()).take(pa.array(some))]),
+                    pa.concat_arrays([phrase, pa.array([""] * len(some), pa.string())]),
+                    pa.array(np.concatenate([count, seen[some]]).astype(np.int64))], names=["grp", "phrase", "n"])
 
     return run
 
 
 def edges(df: DataFrame, text: str, group: str, least: int = LEAST) -> DataFrame:
-    """grp, w1 to w4 and n, stored: one row per edge; words behind the end of a piece are empty. Sums of n from ``least`` on are exact."""
+    """grp, phrase and n, stored: one row per edge, a phrase of four words or, before the end of a piece, fewer. Sums of n from ``least``
+    on are exact. The empty phrase counts all words."""
     rows = df.select(F.coalesce(F.col(group).cast("string"), F.lit("und")).alias("grp"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    bitmap = df.sparkSession.sparkContext.broadcast(frequent_pairs(rows, least))
-    found = rows.mapInArrow(_count_edges(bitmap), "grp string, w1 string, w2 string, w3 string, w4 string, n long")
-    return stored(found.groupBy("grp", *WORDS).agg(F.sum("n").alias("n")))
+    bitmap = df.sparkSession.sparkContext.broadcast(frequent_slots(rows, least))
+    found = rows.mapInArrow(_count_edges(bitmap), "grp string, phrase string, n long")
+    return stored(found.groupBy("grp", "phrase").agg(F.sum("n").alias("n")))
 
 
 def unary_paths(heavy: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -184,23 +194,24 @@ def unary_paths(heavy: DataFrame, nodes: DataFrame) -> DataFrame:
         "grp", F.concat(F.array(*[F.col("items")[0][w] for w in WORDS[:3]]), F.transform("items", lambda i: i["w4"])).alias("words"), "n")
 
 
-def _phrase(*words: str | Column) -> Column:
-    return F.concat_ws(" ", *words)
-
-
 def phrase_counts(found: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """The phrases of one to four words that occur ``least`` times or more (grp, k, phrase, n), and the compacted paths."""
-    three = found.groupBy("grp", "w1", "w2", "w3").agg(F.sum("n").alias("n"))
-    two = three.groupBy("grp", "w1", "w2").agg(F.sum("n").alias("n"))
-    one = two.groupBy("grp", "w1").agg(F.sum("n").alias("n"))
-    nodes = stored(three.where((F.col("n") >= least) & (F.col("w3") != "")))
-    paths = stored(unary_paths(found.where((F.col("n") >= least) & (F.col("w4") != "")), nodes))
+    size = F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit(""))) + 1
+
+    def flow(k: int) -> DataFrame:
+        """Edges added up by their first k words."""
+        begin = found.where((F.col("phrase") != "") & (size >= k)).groupBy("grp", F.substring_index("phrase", " ", k).alias("phrase"))
+        return begin.agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("grp", F.lit(k).alias("k"), "phrase", "n")
+
+    def split(phrases: DataFrame, k: int) -> DataFrame:
+        words = F.split("phrase", " ")
+        return phrases.select("grp", *[words[i].alias(WORDS[i]) for i in range(k)], "n")
+
+    three = stored(flow(3))
+    paths = stored(unary_paths(split(found.where((size == 4) & (F.col("n") >= least)), 4), split(three, 3)))
     start = F.explode(F.sequence(F.lit(1), F.size("words") - 3)).alias("at")
     fours = paths.select("grp", "words", "n", start).select("grp", F.lit(4).alias("k"), F.array_join(F.slice("words", F.col("at"), F.lit(4)), " ").alias("phrase"), "n")
-    return stored(
-        one.where(F.col("n") >= least).select("grp", F.lit(1).alias("k"), F.col("w1").alias("phrase"), "n")
-        .unionByName(two.where((F.col("n") >= least) & (F.col("w2") != "")).select("grp", F.lit(2).alias("k"), _phrase("w1", "w2").alias("phrase"), "n"))
-        .unionByName(nodes.select("grp", F.lit(3).alias("k"), _phrase("w1", "w2", "w3").alias("phrase"), "n")).unionByName(fours)), paths
+    return stored(flow(1).unionByName(flow(2)).unionByName(three).unionByName(fours)), paths
 
 
 def _part(words: Column, start: Column, size: Column) -> Column:
@@ -231,7 +242,7 @@ def scored_phrases(counts: DataFrame) -> DataFrame:
 def collocations(df: DataFrame, text: str = "text", group: str = "lang", least: int = LEAST, most: int = MOST_RANKED) -> DataFrame:
     """The first ``most`` phrases of each group: grp, rank, phrase, a, l, r, n, score."""
     found = edges(df, text, group, least)
-    words = found.groupBy("grp").agg(F.sum("n").alias("n"))
+    words = found.where("phrase = ''").select("grp", "n")
     order = Window.partitionBy("grp").orderBy(F.desc("score"), F.desc("a"), "phrase")
     best = scored_phrases(phrase_counts(found, least)[0]).withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= most)
     return lookup(best, words, ["grp"]).select("grp", "rank", "phrase", "a", "l", "r", "n", "score")
