@@ -9,7 +9,7 @@ from daybook.functions.text import highlight, normalise, snippet, stands_in
 from daybook.operators.daily_pick import daily_pick, incremental_todo
 from daybook.operators.enrich import FieldRule, enrich, extract_fields
 from daybook.operators.quality import evidence_verified, run_suite
-from daybook.operators.sections import split_sections
+from daybook.operators.sections import HEADER, split_sections
 from daybook.operators.vectors import cosine_topk, unit
 from daybook.plans.three_way import three_way_compare
 from daybook.registered.base import events_daily, events_with_k, table
@@ -48,16 +48,16 @@ WITH docs AS (SELECT doc_id, string_split({_with_headers_sql('text')}, chr(10))
 lines AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM docs),
 marked AS (
     SELECT doc_id, pos, line, trim(line) AS bare,
-           regexp_matches(trim(line), '^\\.[A-Z][A-Z0-9 /,&-]*?\\.\\.\\..*$') AS opens,
+           regexp_matches(trim(line), '{HEADER}') AS opens,
            trim(line) IN ('&&', '$$') AS closes FROM lines),
 numbered AS (
     SELECT *, SUM(CASE WHEN opens OR closes THEN 1 ELSE 0 END) OVER (
         PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS part FROM marked),
 parts AS (
     SELECT doc_id, part, MIN(pos) AS pos, bool_or(opens) AS is_section,
-           MAX(CASE WHEN opens THEN trim(regexp_extract(bare, '^\\.([A-Z][A-Z0-9 /,&-]*?)\\.\\.\\.(.*)$', 1)) END) AS section_name,
+           MAX(CASE WHEN opens THEN trim(regexp_extract(bare, '{HEADER}', 1)) END) AS section_name,
            trim(regexp_replace(string_agg(
-               CASE WHEN opens THEN regexp_extract(bare, '^\\.([A-Z][A-Z0-9 /,&-]*?)\\.\\.\\.(.*)$', 2) ELSE line END,
+               CASE WHEN opens THEN regexp_extract(bare, '{HEADER}', 2) ELSE line END,
                ' ' ORDER BY pos), '\\s+', ' ', 'g')) AS content
     FROM numbered GROUP BY doc_id, part)
 SELECT doc_id, CAST(ROW_NUMBER() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS INTEGER) AS section_index,
