@@ -74,7 +74,8 @@ def with_arrow_columns(
             b = waiting.pop(0)
             yield pa.RecordBatch.from_arrays([b.column(i) for i in keep_at] + list(arrays), names=names)
 
-    return df.mapInArrow(run, schema)
+    # a dot in a name is read as a field there
+    return df.toDF(*[n.replace(".", " ") for n in df.columns]).mapInArrow(run, schema)
 
 
 def stored(df: DataFrame) -> DataFrame:
