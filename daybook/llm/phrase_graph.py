@@ -5,9 +5,10 @@ edge; near the end of a piece the edge has fewer words, so such rows are the cor
 fewer words stand together is the flow out of a node: edges added up by their first three words, by their first two, by their first. Runs of nodes with one way in and one way out, both with the node's whole weight, are
 compacted into paths; the four-word phrases are read from those.
 
-Before the edges are made, words and pairs of words are counted in ``SLOTS`` slots, over all texts. A piece ends for the graph where the
-slot of a pair has fewer than ``least``, and no edge starts with a word whose slot has: no phrase over either can be frequent, and every
-count from ``least`` on stays exact. The slots that pass are a bitmap of 8 MB that goes to every task. The larger the corpus, the more pass.
+Before the edges are made, words and pairs of words are counted by 40 bits of their hashes over all texts, then, where all pairs in them
+are frequent, phrases of three and four. An edge goes as far as its phrase and all parts of it have ``least``, so no edge starts with a rare
+word: no longer phrase can be frequent, and every count from ``least`` on stays exact. The frequent ones are two bitmaps of 8 MB that go to
+every task; other phrases that share a slot with them only make edges longer.
 
 Defined results: a NULL text is empty, a NULL group ``und``. Repeated rows all count. An empty table gives no rows. Other columns are not used.
 Within a slice of texts words are told apart by 64-bit hashes; everything else compares the words themselves.
@@ -35,9 +36,12 @@ MOST_RANKED = 2_000
 #: A longer phrase with this share of a shorter one's occurrences, in percent, stands for it.
 ABSORBS = 80
 SCORE_UNITS = 2_000_000
-SLOTS = 1 << 26
-#: Bytes of texts whose edges are counted together before they leave a task, and pairs whose slots are.
-SLICE, PAIRS_AT_ONCE = 1 << 20, 1 << 21
+#: Bits of a phrase's hash that tell it apart while phrases are counted; the first of them are its slot in the bitmap, the first of
+#: those name the part that it is counted in. What is left beside the part makes an item of 32 bits with the count.
+KEY_BITS, SLOT_BITS, PART_BITS, COUNT_BITS = 40, 26, 14, 6
+COUNT = (1 << COUNT_BITS) - 1
+#: Bytes of texts whose edges are counted together before they leave a task, and phrases that are.
+SLICE, AT_ONCE = 1 << 20, 1 << 21
 WORDS = ("w1", "w2", "w3", "w4")
 
 _BREAK, _GAP = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
@@ -66,11 +70,22 @@ class Pieces:
         self.piece = np.cumsum(_BREAK[part])[self.start] + self.text
 
 
-def _slots(p: Pieces, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The slot of each word in its group; for each word but the last whether the next one is in its piece, and the slot of the two."""
-    one = mix(p.hash + groups[p.text])
-    near = p.piece[:-1] == p.piece[1:]
-    return mix(one) & np.uint64(SLOTS - 1), near, mix(one[:-1] * _STEP + p.hash[1:]) & np.uint64(SLOTS - 1)
+def _phrases(p: Pieces, groups: np.ndarray, bitmaps: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each word the hash of the phrase of one, two, three and four words that starts there in its group, and whether the phrase
+    stands in one piece and, as far as ``bitmaps`` tell, it and all its parts can be frequent. Each bitmap tells of two sizes."""
+    n = len(p.hash)
+    ahead = np.concatenate([p.hash, np.zeros(3, dtype=np.uint64)])
+    same = np.append(p.piece[:-1] == p.piece[1:], False)
+    key, good, out = groups[p.text], np.ones(n, dtype=bool), []
+    for k in range(4):
+        key = mix(key * _STEP + ahead[k: n + k])
+        if k:
+            good = good & np.append(good[1:], False) & same
+        if k // 2 < len(bitmaps):
+            slot = (key >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+            good = good & ((bitmaps[k // 2][slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1)
+        out.append((key, good))
+    return out
 
 
 def _read(b: pa.RecordBatch, size: int) -> Iterator[tuple[Pieces, np.ndarray, np.ndarray, list[str]]]:
@@ -85,67 +100,106 @@ def _read(b: pa.RecordBatch, size: int) -> Iterator[tuple[Pieces, np.ndarray, np
             yield p, number[i:j], hashes[number[i:j]], names
 
 
-def _count_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    waiting: list[np.ndarray] = []
-
-    def counted():
-        slot, n = np.unique(np.concatenate(waiting), return_counts=True)
-        waiting.clear()
-        return pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(n.astype(np.int32))], names=["slot", "n"])
-
-    for b in batches:
-        for p, _, hashes, _ in _read(b, SLICE):
-            word, near, pair = _slots(p, hashes)
-            waiting.append(np.concatenate([word, pair[near]]).astype(np.uint32))
-            if sum(map(len, waiting)) >= PAIRS_AT_ONCE:
-                yield counted()
-    if waiting:
-        yield counted()
-
-
-def frequent_slots(rows: DataFrame, least: int = LEAST) -> np.ndarray:
-    """A bitmap of SLOTS bits: the slots with at least ``least`` words and pairs. ``rows`` has grp and text."""
-    slots = rows.mapInArrow(_count_slots, "slot int, n int").groupBy("slot").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    number = F.col("slot") + 1
-    packed = slots.groupBy(F.bitmap_bucket_number(number).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits"))
-    out = np.zeros(SLOTS // 8, dtype=np.uint8)
-    for r in packed.toLocalIterator():  # at most SLOTS bits
-        out[(r.bucket - 1) * 4_096: (r.bucket - 1) * 4_096 + len(r.bits)] = np.frombuffer(bytes(r.bits), dtype=np.uint8)
+def _count_phrases(known, least: int):
+    """Counts phrases of one and two words or, with a bitmap of those, of three and four, per ``AT_ONCE`` occurrences. A row has the
+    phrases of one part of the hashes in 4 bytes each: the rest of the hash and a count up to ``COUNT``, larger ones go on in a further item."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[np.ndarray] = []
+        bitmaps = known.value
+
+        def counted():
+            key, n = np.unique(np.concatenate(waiting) >> np.uint64(64 - KEY_BITS), return_counts=True)
+            waiting.clear()
+            n = np.minimum(n, least)  # enough to tell whether the sum is that large
+            items = -(-n // COUNT)
+            count = np.full(items.sum(), COUNT, dtype=np.uint64)
+            count[np.cumsum(items) - 1] = n - COUNT * (items - 1)
+            key = np.repeat(key, items)
+            part = (key >> np.uint64(KEY_BITS - PART_BITS)).astype(np.int32)
+            first = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, dtype=np.int64)
+            data = (key << np.uint64(COUNT_BITS) | count).astype("<u4")  # the bits of the part fall off
+            offsets = np.append(first, len(part)).astype(np.int32) * 4
+            packed = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+            return pa.RecordBatch.from_arrays([pa.array(part[first]), packed], names=["part", "packed"])
+
+        for b in batches:
+            for p, _, hashes, _ in _read(b, SLICE):
+                waiting += [key[good] for key, good in _phrases(p, hashes, bitmaps)[2 * len(bitmaps):][:2]]
+                if sum(map(len, waiting)) >= AT_ONCE:
+                    yield counted()
+        if waiting:
+            yield counted()
+
+    return run
+
+
+def _frequent(least: int):
+    """The slots of the phrases that occur ``least`` times or more, as a bitmap per part. The rows come ordered by part."""
+    rest = np.uint64(KEY_BITS - PART_BITS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, n = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+
+        def bitmaps(key: np.ndarray) -> pa.RecordBatch:
+            slot = (key >> np.uint64(KEY_BITS - SLOT_BITS)).astype(np.int64)
+            part, at = np.unique(slot >> (SLOT_BITS - PART_BITS), return_inverse=True)
+            bits = np.zeros((len(part), 1 << (SLOT_BITS - PART_BITS)), dtype=bool)
+            bits[at, slot & (bits.shape[1] - 1)] = True
+            rows = [r.tobytes() for r in np.packbits(bits, axis=1, bitorder="little")]
+            return pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(rows, pa.binary())], names=["part", "bits"])
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            packed, part = b.column("packed").cast(pa.large_binary()), np.asarray(b.column("part")).astype(np.uint64)
+            _, offsets, data = packed.buffers()
+            at = np.frombuffer(offsets, dtype=np.int64)[packed.offset: packed.offset + len(packed) + 1]
+            items = np.frombuffer(data, dtype=np.uint8)[at[0]: at[-1]].view("<u4")
+            key = np.concatenate([key, np.repeat(part << rest, np.diff(at) // 4) | (items >> COUNT_BITS)])
+            key, of = np.unique(key, return_inverse=True)
+            n = np.bincount(of, weights=np.concatenate([n, items & COUNT])).astype(np.int64)
+            done = key >> rest < part[-1]
+            yield bitmaps(key[done & (n >= least)])
+            key, n = key[~done], n[~done]
+        yield bitmaps(key[n >= least])
+
+    return run
+
+
+def frequent_slots(rows: DataFrame, known, least: int = LEAST) -> np.ndarray:
+    """A bitmap of the slots of frequent phrases of the two sizes after those in ``known``, a broadcast list of such bitmaps.
+    ``rows`` has grp and text."""
+    counts = rows.mapInArrow(_count_phrases(known, least), "part int, packed binary")
+    found = counts.repartition("part").sortWithinPartitions("part").mapInArrow(_frequent(least), "part int, bits binary").toArrow()
+    out, size = np.zeros(1 << (SLOT_BITS - 3), dtype=np.uint8), 1 << (SLOT_BITS - PART_BITS - 3)
+    for part, bits in zip(found["part"].to_pylist(), found["bits"].to_pylist()):  # no part twice
+        out[part * size: (part + 1) * size] = np.frombuffer(bits, dtype=np.uint8)
     return out
 
 
 def _strings(p: Pieces, words: np.ndarray) -> pa.Array:
-    """The given words as text, behind an empty one."""
+    """The given words as text."""
     start, size = p.start[words], p.end[words] - p.start[words]
-    ends = np.concatenate([[0, 0], np.cumsum(size)])
-    take = np.repeat(start - ends[1:-1], size) + np.arange(ends[-1])
-    return pa.LargeStringArray.from_buffers(len(words) + 1, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(p.bytes[take]))
+    ends = np.concatenate([[0], np.cumsum(size)])
+    take = np.repeat(start - ends[:-1], size) + np.arange(ends[-1])
+    return pa.LargeStringArray.from_buffers(len(words), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(p.bytes[take]))
 
 
-def _count_edges(bitmap):
+def _count_edges(known):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = bitmap.value
-
-        def passes(slot: np.ndarray) -> np.ndarray:
-            return (bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
+        bitmaps = known.value
         for b in batches:
             for p, number, hashes, names in _read(b, SLICE):
-                word, near, pair = _slots(p, hashes)
-                on = np.concatenate([near & passes(pair), np.zeros(4, dtype=bool)])
-                _, first, code = np.unique(p.hash, return_index=True, return_inverse=True)
-                n, group = len(code), number[p.text]
-                code = np.concatenate([code + 1, np.zeros(3, dtype=np.int64)])
-                reach, columns, key = np.ones(n, dtype=bool), [], group.astype(np.uint64)
+                group, key, size = number[p.text], np.zeros(len(p.hash), dtype=np.uint64), np.zeros(len(p.hash), dtype=np.int64)
+                for of, good in _phrases(p, hashes, bitmaps):
+                    key, size = np.where(good, of, key), size + good
+                starts = np.flatnonzero(size)
+                _, at, count = np.unique(mix(key[starts] + group[starts].astype(np.uint64)), return_index=True, return_counts=True)
+                at, words = starts[at], []
                 for k in range(4):
-                    columns.append(np.where(reach, code[k: n + k], 0))
-                    key = mix(key * _STEP + columns[-1].astype(np.uint64))
-                    reach = reach & on[k: n + k]
-                starts = np.flatnonzero(passes(word))
-                _, at, count = np.unique(key[starts], return_index=True, return_counts=True)
-                at, text = starts[at], _strings(p, first)
-                words = [text.take(pa.array(c[at], mask=c[at] == 0)) for c in columns]
+                    has = size[at] > k
+                    words.append(_strings(p, at[has] + k).take(pa.array(np.cumsum(has) - 1, mask=~has)))
                 phrase = pc.binary_join_element_wise(*words, pa.scalar(" ", pa.large_string()), null_handling="skip").cast(pa.string())
                 seen = np.bincount(group, minlength=len(names))  # all words, under the empty phrase
                 some = np.flatnonzero(seen)
@@ -158,11 +212,13 @@ def _count_edges(bitmap):
 
 
 def edges(df: DataFrame, text: str, group: str, least: int = LEAST) -> DataFrame:
-    """grp, phrase and n, stored: one row per edge, a phrase of four words or, before the end of a piece, fewer. Sums of n from ``least``
-    on are exact. The empty phrase counts all words."""
+    """grp, phrase and n, stored: one row per edge, a phrase of four words or, before the end of a piece or what cannot be frequent, fewer.
+    Sums of n from ``least`` on are exact. The empty phrase counts all words."""
     rows = df.select(F.coalesce(F.col(group).cast("string"), F.lit("und")).alias("grp"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    bitmap = df.sparkSession.sparkContext.broadcast(frequent_slots(rows, least))
-    found = rows.mapInArrow(_count_edges(bitmap), "grp string, phrase string, n long")
+    send, bitmaps = df.sparkSession.sparkContext.broadcast, []
+    for _ in range(2):
+        bitmaps = [*bitmaps, frequent_slots(rows, send(bitmaps), least)]
+    found = rows.mapInArrow(_count_edges(send(bitmaps)), "grp string, phrase string, n long")
     return stored(found.groupBy("grp", "phrase").agg(F.sum("n").alias("n")))
 
 

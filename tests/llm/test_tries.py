@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import random
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,6 +115,33 @@ def test_paths_are_compacted(spark):
     assert (passage.split(" "), 10) in [(r.words, r.n) for r in paths]
 
 
+def test_edges_go_no_further_than_frequent_phrases(spark):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abcdef") for _ in range(50)) + ". u v w x" for _ in range(20)]
+    f = Counter(" ".join(w[i: i + k]) for t in texts for w in (piece.split() for piece in t.split(".")) for k in range(1, 5) for i in range(len(w) - k + 1))
+    df = spark.createDataFrame([("en", t) for t in texts], "lang string, text string")
+    found = {r.phrase: r.n for r in phrase_graph.edges(df, "text", "lang", 10).collect()}
+    assert found.pop("") == sum(n for phrase, n in f.items() if " " not in phrase)
+    assert {p.count(" ") for p in found} >= {1, 3} and min(f[p] for p in found) >= 10
+
+
+@pytest.mark.parametrize("at_once", [1, 500, 1 << 21])
+def test_frequent_slots_over_many_counts(monkeypatch, at_once):
+    monkeypatch.setattr(phrase_graph, "AT_ONCE", at_once)
+    monkeypatch.setattr(phrase_graph, "SLICE", 300)
+    texts = [f"hot hot {'hot ' * (i % 3)}, v{i % 7} w{i % 5}; once{i}" for i in range(400)]
+    batch = pa.RecordBatch.from_pydict({"grp": ["en"] * 200 + ["de"] * 200, "text": texts})
+    parts = [(part, packed) for b in phrase_graph._count_phrases(SimpleNamespace(value=[]), 90)([batch.slice(0, 250), batch.slice(250)])
+             for part, packed in zip(b["part"].to_pylist(), b["packed"].to_pylist())]
+    parts.sort(key=lambda r: r[0])
+    schema = pa.schema([("part", pa.int32()), ("packed", pa.binary())])
+    ordered = [pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in parts[i: i + 3]], schema) for i in range(0, len(parts), 3)]
+    rows = [r for b in phrase_graph._frequent(90)([*ordered, ordered[0].slice(0, 0)]) for r in b.to_pylist()]
+    assert len({r["part"] for r in rows}) == len(rows)
+    # hot and hot hot in either group; nothing else is in it 90 times
+    assert sum(int.from_bytes(r["bits"], "little").bit_count() for r in rows) == 4
+
+
 # ---- the trie of conversations
 
 
