@@ -19,7 +19,7 @@ agree in id and text one). Other columns are carried along by ``drop_near_copies
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -105,33 +105,32 @@ def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np
 _FIELDS = [("bands", T.ArrayType(T.LongType())), ("shingles", T.ArrayType(T.IntegerType()))]
 
 
-def with_signatures(df: DataFrame, text: str, weights: str = "distinct") -> DataFrame:
-    """``df`` with its band keys (none without words) and its shingles as 32-bit hashes.
+def with_signatures(df: DataFrame, text: str, weights: str = "distinct", drop: Sequence[str] = ()) -> DataFrame:
+    """``df`` with its band keys (none without words) and its shingles as 32-bit hashes, and without the columns ``drop``.
 
     ``weights``: ``distinct`` gives every shingle weight 1, ``count`` the number of its occurrences.
     """
-    def each(batches: Iterator[pa.RecordBatch]):
-        for b in batches:
-            body, offsets = text_buffers(b.column(text))
-            keys, key_ends, sets, set_ends = [], [np.zeros(1, dtype=np.int64)], [], [np.zeros(1, dtype=np.int64)]
-            for i, j in slices(offsets):
-                for k in range(i, j, AT_ONCE):
-                    words = Words(body, offsets, k, min(j, k + AT_ONCE))
-                    owner, element, count = shingles(words)
-                    weight = count if weights == "count" else np.ones(len(count))
-                    size = np.bincount(owner, minlength=words.n_texts)
-                    found = band_keys(signatures(owner, element, weight, words.n_texts))
-                    keys.append(found[size > 0].ravel())
-                    key_ends.append(key_ends[-1][-1] + np.cumsum((size > 0) * BANDS))
-                    sets.append((element >> np.uint64(32)).astype(np.uint32))
-                    set_ends.append(set_ends[-1][-1] + np.cumsum(size))
-            def lists(parts, ends, kind, of):
-                values = np.concatenate(parts) if parts else np.zeros(0, dtype=kind)
-                return pa.ListArray.from_arrays(pa.array(np.concatenate(ends).astype(np.int32)), pa.array(values.view(of)))
-
-            yield [lists(keys, key_ends, np.uint64, np.int64), lists(sets, set_ends, np.uint32, np.int32)]
-
-    return with_arrow_columns(df, _FIELDS, each)
+    def lists(parts, ends, kind, of):
+        values = np.concatenate(parts) if parts else np.zeros(0, dtype=kind)
+        return pa.ListArray.from_arrays(pa.array(np.concatenate(ends).astype(np.int32)), pa.array(values.view(of)))
+
+    def signed(b: pa.RecordBatch) -> list[pa.Array]:
+        body, offsets = text_buffers(b.column(text))
+        keys, key_ends, sets, set_ends = [], [np.zeros(1, dtype=np.int64)], [], [np.zeros(1, dtype=np.int64)]
+        for i, j in slices(offsets):
+            for k in range(i, j, AT_ONCE):
+                words = Words(body, offsets, k, min(j, k + AT_ONCE))
+                owner, element, count = shingles(words)
+                weight = count if weights == "count" else np.ones(len(count))
+                size = np.bincount(owner, minlength=words.n_texts)
+                found = band_keys(signatures(owner, element, weight, words.n_texts))
+                keys.append(found[size > 0].ravel())
+                key_ends.append(key_ends[-1][-1] + np.cumsum((size > 0) * BANDS))
+                sets.append((element >> np.uint64(32)).astype(np.uint32))
+                set_ends.append(set_ends[-1][-1] + np.cumsum(size))
+        return [lists(keys, key_ends, np.uint64, np.int64), lists(sets, set_ends, np.uint32, np.int32)]
+
+    return with_arrow_columns(df, _FIELDS, lambda batches: map(signed, batches), drop)
 
 
 def _filtered(rows: DataFrame, of: DataFrame, column: str, least: int, per_row: int) -> DataFrame:
@@ -163,7 +162,7 @@ def _keyed(df: DataFrame, text: str, doc_id: str) -> DataFrame:
 
 def _roots(df: DataFrame, text: str, doc_id: str, similarity: float, weights: str) -> DataFrame:
     """doc_id, key and root: the key that stands for the document's class."""
-    signed = with_signatures(_keyed(df, text, doc_id), "text", weights).drop("text")
+    signed = with_signatures(_keyed(df, text, doc_id), "text", weights, drop=["text"])
     signed = stored(signed.withColumn("n", F.size(F.array_distinct("shingles"))))
     found = near_components(signed.select("key", "n", "bands", "shingles"), similarity)
     return lookup(signed.select("doc_id", "key"), found.select(F.col("node").alias("key"), "root"), ["key"]).select(

@@ -144,6 +144,13 @@ def test_signatures_estimate_weighted_similarity():
     assert not dart_minhash.signatures(np.zeros(0, int), np.zeros(0, np.uint64), np.zeros(0), 3).any()
 
 
+def test_texts_do_not_come_back_with_their_signatures(spark):
+    docs = cases.frame(spark).select("doc_id", "text")
+    signed = dart_minhash.with_signatures(docs, "text", drop=["text"])
+    assert signed.columns == ["doc_id", "bands", "shingles"]
+    assert tuples(signed) == tuples(dart_minhash.with_signatures(docs, "text").drop("text"))
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 160)] + [(200, 200)]
     out = components.components(spark.createDataFrame(links, "a bigint, b bigint"))

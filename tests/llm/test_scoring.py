@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -45,6 +47,35 @@ def test_nothing_to_find(spark):
     assert decontaminate.find_contamination(clash, none).columns.count("n_hit") == 1
 
 
+def most_held(work):
+    """Bytes that Python and numpy hold at once beyond what they held before."""
+    work()  # fills tables that are kept
+    tracemalloc.start()
+    work()
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return most
+
+
+def test_words_of_one_slice_are_held_at_a_time():
+    texts = pa.array([cases.PASSAGE + " x y z" * 10_000] * 100)
+    batch = lambda n: pa.RecordBatch.from_arrays([texts.slice(0, n)], names=["text"])
+    detector = decontaminate.Detector([("7", decontaminate.word_hashes([cases.PASSAGE])[0])])
+    judge = lambda n: decontaminate._judge(batch(n), "text", lambda: [detector], False)
+    assert [a.to_pylist() for a in judge(100)] == [a.to_pylist() * 100 for a in judge(1)]
+    assert most_held(lambda: judge(100)) < 2 * most_held(lambda: judge(20))
+
+
+def test_counts_of_few_texts_are_held_at_a_time():
+    texts = [f"word {i} of many" for i in range(4_000)]
+    body = np.frombuffer("".join(texts).encode(), dtype=np.uint8)
+    offsets = np.cumsum([0, *map(len, texts)])
+    whole = language_id.features(body, offsets)
+    for i in (0, 63, 64, 3_999):
+        assert (whole[i] == language_id.features(body, offsets[i: i + 2])[0]).all()
+    assert most_held(lambda: language_id.features(body, offsets)) < 1.5 * whole.nbytes
+
+
 def test_matching_lengths_of_the_automaton():
     rng = random.Random(9)
     for _ in range(30):
